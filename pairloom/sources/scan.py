@@ -1,0 +1,208 @@
+"""Reading datasets together with the order of their rows.
+
+A DataFrame has no order, so each scan adds two columns that give it back: ``part``, the file (or
+block of a file) as sortable text, and ``pos``, the row's place within it. Sorting by ``part, pos``
+yields the stored order; no shuffle or driver-side count is needed to fill either column.
+"""
+
+from __future__ import annotations
+
+import logging
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+
+from pairloom.session import path_exists
+
+log = logging.getLogger(__name__)
+
+PART = "part"
+POS = "pos"
+
+# --- Fixed values: layout of a JSON array of objects written with an indent of two -------------
+ARRAY_HEAD = "[\n  {\n"
+ARRAY_SEPARATOR = "\n  },\n  {\n"
+ARRAY_TAIL = "\n  }\n]"
+# ----------------------------------------------------------------------------------------------
+
+# A file read as one JSON document is handled by one task, so its size is limited.
+MAX_WHOLE_DOCUMENT_BYTES = 128 * 1024 * 1024
+
+SPLIT_SCHEMA = T.StructType(
+    [
+        T.StructField("split_pos", T.LongType()),
+        T.StructField("split_row", T.LongType()),
+        T.StructField("instruction", T.StringType()),
+        T.StructField("response", T.StringType()),
+        T.StructField("split", T.StringType()),
+    ]
+)
+
+
+def scan(
+    spark: SparkSession,
+    path: str | list[str],
+    fmt: str = "parquet",
+    schema: T.StructType | str | None = None,
+    **options: str,
+) -> DataFrame:
+    """All rows of a dataset with ``part`` and ``pos``; columns that already have these names win.
+
+    Parquet knows each row's index in its file. The other formats are ordered by file, offset of
+    the file block, and order of reading within the block.
+    """
+    reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
+    df = reader.load(path)
+    if {PART, POS} <= set(df.columns):
+        return df
+    if fmt == "parquet":
+        part, pos = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    else:
+        part, pos = _block_name(), F.monotonically_increasing_id()
+    return df.select("*", part.alias(PART), pos.alias(POS))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spreads a scan of few row groups over the cores; one with enough partitions is unchanged.
+
+    Only an input smaller than one partition per core is ever shuffled here.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, PART, POS)
+
+
+def _block_name() -> Column:
+    start = F.lpad(F.col("_metadata.file_block_start").cast("string"), 20, "0")
+    return F.concat(F.col("_metadata.file_path"), F.lit("#"), start)
+
+
+def read_or_empty(
+    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+) -> DataFrame:
+    """``scan``, or no rows with the same columns and a warning if the path does not exist."""
+    if path_exists(spark, path):
+        return scan(spark, path, fmt, schema)
+    log.warning("no data at %s, continuing without it", path)
+    missing = [
+        f for f in (T.StructField(PART, T.StringType()), T.StructField(POS, T.LongType()))
+        if f.name not in schema.names
+    ]
+    return spark.createDataFrame([], T.StructType(list(schema.fields) + missing))
+
+
+def read_json_array(spark: SparkSession, path: str, layout: str = "indented") -> DataFrame:
+    """Files that each hold one JSON array of objects, as ``part, pos, v`` with a variant ``v``.
+
+    ``layout="indented"`` is for arrays written with an indent of two. The lines between two
+    records then serve as record separator, so files are split into blocks like any text file: a
+    raw line break cannot occur inside a JSON string, and nested objects are indented deeper.
+
+    ``layout="any"`` parses each file as one document in one task, up to a size limit.
+    """
+    if layout == "any":
+        return _read_whole_documents(spark, path)
+    if layout != "indented":
+        raise ValueError(f"unknown layout {layout!r}")
+    value = F.col("value")
+    body = F.rtrim(F.lit("\n"), value)
+    body = F.when(
+        body.endswith(ARRAY_TAIL), F.left(body, F.length(body) - len(ARRAY_TAIL))
+    ).otherwise(body)
+    body = F.when(
+        body.startswith(ARRAY_HEAD), F.substr(body, F.lit(len(ARRAY_HEAD) + 1))
+    ).otherwise(body)
+    return (
+        spark.read.option("lineSep", ARRAY_SEPARATOR)
+        .text(path)
+        .select(_block_name().alias(PART), F.monotonically_increasing_id().alias(POS), "value")
+        .where(~F.regexp_replace("value", r"^\s+|\s+$", "").isin("", "[]"))
+        .select(PART, POS, F.parse_json(F.concat(F.lit("{"), body, F.lit("}"))).alias("v"))
+    )
+
+
+def _read_whole_documents(spark: SparkSession, path: str) -> DataFrame:
+    too_big = (
+        spark.read.format("binaryFile").load(path)
+        .where(F.col("length") > MAX_WHOLE_DOCUMENT_BYTES)
+        .select("path")
+        .head()
+    )
+    if too_big:
+        raise ValueError(f"{too_big.path} is too large for one task; land it as JSON lines")
+    return (
+        spark.read.option("multiLine", True)
+        .option("singleVariantColumn", "doc")
+        .option("mode", "FAILFAST")
+        .json(path)
+        .select(
+            F.col("_metadata.file_path").alias(PART),
+            F.posexplode(F.col("doc").cast("array<variant>")).alias(POS, "v"),
+        )
+        .withColumn(POS, F.col(POS).cast("bigint"))
+    )
+
+
+def with_row_index(df: DataFrame, name: str, within: tuple[str, ...] = ()) -> DataFrame:
+    """Adds each row's place in stored order, counted from 0 (per ``within`` group if given).
+
+    Rows of a part are numbered consecutively by the scan, so only the number of rows before each
+    part is missing. That needs one small row per file or block; the data itself is joined to it
+    without being sorted, and stays where it is whenever the part table is small enough for
+    Spark to broadcast. Use on a fresh scan: a filter before it would leave gaps.
+    """
+    keys = [*within, PART]
+    before = Window.partitionBy(*within).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    parts = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"), F.min(POS).alias("_first"))
+        .select(*keys, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
+    )
+    return df.join(parts, keys).withColumn(name, F.col(POS) + F.col("_shift")).drop("_shift")
+
+
+def load_named_splits(
+    spark: SparkSession,
+    folder: str,
+    fmt: str = "parquet",
+    names: dict[str, str] | None = None,
+) -> DataFrame:
+    """Splits written by ``write_splits``, under the names a trainer expects.
+
+    Only the folders of the wanted splits are listed and read; one without rows is simply empty.
+    """
+    names = names or {"train": "train", "val": "validation"}
+    df = spark.read.schema(SPLIT_SCHEMA).format(fmt).load(folder).where(F.col("split").isin(*names))
+    renamed = reduce(
+        lambda acc, item: acc.when(F.col("split") == item[0], F.lit(item[1])),
+        names.items(),
+        F.when(F.lit(False), F.lit(None)),
+    )
+    return df.withColumn("split", renamed)
+
+
+def load_split_files(
+    spark: SparkSession, files: dict[str, str], fmt: str = "json", layout: str | None = None
+) -> DataFrame:
+    """Splits from files of another tool, one path per split name, in file order.
+
+    ``layout`` set means that the files hold JSON arrays (see ``read_json_array``); otherwise they
+    are tables in ``fmt`` with the columns ``instruction`` and ``response``.
+    """
+    frames = []
+    for name, path in files.items():
+        if layout:
+            rows = read_json_array(spark, path, layout).select(
+                PART,
+                POS,
+                F.try_variant_get("v", "$.instruction", "string").alias("instruction"),
+                F.try_variant_get("v", "$.response", "string").alias("response"),
+            )
+        else:
+            rows = scan(spark, path, fmt, "instruction string, response string")
+        rows = with_row_index(rows, "split_row").withColumn("split", F.lit(name))
+        frames.append(rows.select("split", "split_row", "instruction", "response"))
+    return reduce(DataFrame.unionByName, frames)

@@ -1,0 +1,98 @@
+"""Writing raw tables and splits, reusing them, and reporting their size."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable, Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+
+from pairloom.session import path_exists
+from pairloom.sources.scan import ARRAY_HEAD, ARRAY_SEPARATOR, ARRAY_TAIL
+
+SPLITS = ("train", "val", "test")
+
+
+def write_raw(df: DataFrame, path: str, fmt: str = "json") -> int:
+    """Overwrites ``path`` and returns the number of rows, counted by the writing job itself.
+
+    JSON comes out as lines, with non-ASCII characters as they are and null fields kept.
+    """
+    seen = Observation()
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+    if fmt == "json":
+        writer = writer.option("ignoreNullFields", False)
+    writer.format(fmt).save(path)
+    return seen.get["n"]
+
+
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """Overwrites ``path`` with one JSON array per task, for tools that read whole arrays.
+
+    Records are rendered by Spark; the helper only puts brackets and commas around them.
+    """
+    record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    inner = F.concat(F.lit("    "), F.substr(record, F.lit(2), F.length(record) - 2))
+    lines = df.select(inner.alias("value")).mapInPandas(_join_records, "value string")
+    lines.write.mode("overwrite").text(path)
+
+
+def _join_records(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # The text writer ends every row with the line break that head, separator and tail start or
+    # end with, so it is left out here.
+    lead = ARRAY_HEAD
+    between = ARRAY_SEPARATOR.removeprefix("\n")
+    for batch in batches:
+        lines = between + batch["value"]
+        if lead == ARRAY_HEAD and len(lines):
+            lines.iloc[0] = lead + batch["value"].iloc[0]
+            lead = between
+        yield pd.DataFrame({"value": lines})
+    if lead != ARRAY_HEAD:
+        yield pd.DataFrame({"value": [ARRAY_TAIL.removeprefix("\n")]})
+
+
+def write_splits(df: DataFrame, folder: str, fmt: str = "parquet") -> None:
+    """Overwrites ``folder`` with one subfolder per split.
+
+    Rows are written where they are. After ``assign_split`` a task holds one stretch of
+    ``split_pos``, so it writes one file (two or three at a boundary between splits), and the
+    row range of every file is known from its statistics.
+    """
+    writer = df.write.mode("overwrite").partitionBy("split")
+    if fmt == "json":
+        writer = writer.option("ignoreNullFields", False)
+    writer.format(fmt).save(folder)
+
+
+def materialise_if_absent(
+    spark: SparkSession, folder: str, build: Callable[[], DataFrame], fmt: str = "parquet"
+) -> str:
+    """Writes the splits that ``build`` returns, unless a finished write is already there."""
+    if not path_exists(spark, f"{folder}/_SUCCESS"):
+        write_splits(build(), folder, fmt)
+    return folder
+
+
+def split_file_report(
+    spark: SparkSession, folder: str, names: Sequence[str] = SPLITS
+) -> DataFrame:
+    """``split, present, n_files, size_mb`` for each expected split.
+
+    The binary source is asked for path and length only, so no file is opened.
+    """
+    split = F.regexp_extract("path", r"/split=([^/]+)/", 1)
+    sizes = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(folder)
+        .groupBy(split.alias("split"))
+        .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
+    )
+    expected = spark.createDataFrame([(name,) for name in names], "split string")
+    return expected.join(sizes, "split", "left").select(
+        "split",
+        F.col("n_files").isNotNull().alias("present"),
+        F.coalesce("n_files", F.lit(0)).alias("n_files"),
+        F.round(F.col("n_bytes") / (1024 * 1024), 2).alias("size_mb"),
+    )

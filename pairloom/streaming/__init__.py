@@ -1,0 +1 @@
+"""Intentionally empty: every stage reads complete tables, so no operator is streaming."""
