@@ -108,7 +108,7 @@ def read_json_array(spark: SparkSession, path: str, layout: str = "indented") ->
     if layout != "indented":
         raise ValueError(f"unknown layout {layout!r}")
     value = F.col("value")
-    body = F.rtrim(F.lit("\n"), value)
+    body = F.rtrim(value, F.lit("\n"))
     body = F.when(
         body.endswith(ARRAY_TAIL), F.left(body, F.length(body) - len(ARRAY_TAIL))
     ).otherwise(body)
