@@ -41,10 +41,11 @@ from pairloom.sources import (
     load_named_splits,
     load_split_files,
     materialise_if_absent,
-    read_json_array,
+    read_json_records,
     read_or_empty,
     scan,
     split_file_report,
+    text_fields,
     write_json_arrays,
     write_raw,
     write_splits,
@@ -76,13 +77,18 @@ def scan_dataset(spark: SparkSession, sf: str) -> DataFrame:
 def scan_json_array(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "arrays")
     write_json_arrays(views.table(spark, sf, "documents").drop("part", "pos"), folder)
-    field = lambda name: F.try_variant_get("v", f"$.{name}", "variant")
-    return read_json_array(spark, folder).select(
-        F.try_variant_get("v", "$.doc_id", "bigint").alias("doc_id"),
-        as_text(field("text"), T.VariantType()).alias("text"),
-        as_text(field("source"), T.VariantType()).alias("source"),
-        as_text(field("n_chars"), T.VariantType()).alias("number_as_text"),
-    )
+    records = read_json_records(spark, folder, "indented")
+    doc_id = F.try_variant_get("v", "$.doc_id", "bigint").alias("doc_id")
+    fields = text_fields(records.select(doc_id, "v"), ["text", "source", "n_chars"])
+    return fields.withColumnRenamed("n_chars", "number_as_text")
+
+
+@query
+def scan_json_lines(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark, "lines")
+    write_raw(views.b_raw(spark, sf), folder)
+    records = read_json_records(spark, folder, "lines")
+    return text_fields(records, ["question", "answer", "no_such_field"]).drop("part")
 
 
 @query
@@ -97,16 +103,23 @@ def load_split_files_in_order(spark: SparkSession, sf: str) -> DataFrame:
     files = {"train": new_folder(spark, "train"), "validation": new_folder(spark, "validation")}
     for name, path in files.items():
         rows = views.named_splits(spark, sf).where(F.col("split") == name)
-        rows.repartitionByRange(4, "split_row").sortWithinPartitions("split_row").select(
-            "instruction", "response"
-        ).write.json(path)
+        in_order = rows.repartitionByRange(4, "split_row").sortWithinPartitions("split_row")
+        write_json_arrays(in_order.select("instruction", "response"), path)
     return load_split_files(spark, files)
 
 
 @query
 def optional_source(spark: SparkSession, sf: str) -> DataFrame:
-    absent = read_or_empty(spark, f"{sf}/no_such_table.parquet", RAW_SCHEMA)
-    present = views.a_raw(spark, sf).select(*RAW_SCHEMA.names)
+    names = RAW_SCHEMA.names
+    present, absent = [
+        read_or_empty(
+            spark,
+            f"{sf}/{name}.parquet",
+            RAW_SCHEMA,
+            lambda spark, path: views.label_documents(scan(spark, path)).select(*names),
+        )
+        for name in ("documents", "no_such_table")
+    ]
     return union_ordered([present, absent]).drop("part")
 
 

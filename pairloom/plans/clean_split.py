@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from pairloom.operators.order import ORDER, assign_split, seeded_order
 from pairloom.operators.pairs import clean_pairs, union_ordered
-from pairloom.sources.scan import read_or_empty
+from pairloom.sources.scan import read_json_records, read_or_empty, scan, spread, text_fields
 from pairloom.sources.sink import write_splits
 
 RAW_SCHEMA = T.StructType(
@@ -41,13 +41,22 @@ def clean_and_split_folder(
     raw_folder: str,
     names: Sequence[str],
     out_folder: str,
-    fmt: str = "parquet",
+    layout: str = "parquet",
     out_fmt: str = "parquet",
     seed: int = 42,
 ) -> None:
-    """``clean_and_split`` from the raw tables of ``collect`` to split folders.
+    """``clean_and_split`` from raw tables or files to split folders, replacing what is there.
 
-    ``names`` are in order of precedence; a source that is not there counts as empty.
+    ``names`` are in order of precedence; a source that is not there counts as empty. ``layout``
+    is ``parquet`` or one of ``read_json_records``; either way a value that is not text is empty.
     """
-    sources = [read_or_empty(spark, f"{raw_folder}/{name}", RAW_SCHEMA, fmt) for name in names]
-    write_splits(clean_and_split(sources, seed), out_folder, out_fmt)
+
+    def read(spark: SparkSession, path: str) -> DataFrame:
+        if layout == "parquet":
+            return scan(spark, path)
+        return text_fields(read_json_records(spark, path, layout), ["instruction", "response"])
+
+    sources = [
+        read_or_empty(spark, f"{raw_folder}/{name}", RAW_SCHEMA, read) for name in names
+    ]
+    write_splits(clean_and_split([spread(s) for s in sources], seed), out_folder, out_fmt)

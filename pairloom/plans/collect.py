@@ -6,7 +6,6 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.sources.scan import scan
@@ -31,15 +30,14 @@ def collect(
 ) -> DataFrame:
     """Writes ``folder/<name>`` per source and returns ``source, status, n_rows``.
 
-    An error that Spark reports for one source is logged and does not stop the others. The raw
-    tables keep ``part`` and ``pos``, as the names of the written files do not give the order.
+    An error in one source is logged and does not stop the others. The raw tables keep ``part`` and ``pos``, as the names of the written files do not give the order.
     """
     outcome = []
     for source in sources:
         try:
             rows = source.resolve(scan(spark, source.path, source.fmt, **source.options))
             outcome.append((source.name, "saved", write_raw(rows, f"{folder}/{source.name}", fmt)))
-        except PySparkException as error:
+        except Exception as error:  # whatever goes wrong with one source
             log.warning("source %s failed: %s", source.name, error)
             outcome.append((source.name, "failed", 0))
     return spark.createDataFrame(outcome, "source string, status string, n_rows bigint")

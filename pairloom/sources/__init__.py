@@ -5,10 +5,11 @@ from pairloom.sources.scan import (
     POS,
     load_named_splits,
     load_split_files,
-    read_json_array,
+    read_json_records,
     read_or_empty,
     scan,
     spread,
+    text_fields,
     with_row_index,
 )
 from pairloom.sources.sink import (
@@ -25,11 +26,12 @@ __all__ = [
     "load_named_splits",
     "load_split_files",
     "materialise_if_absent",
-    "read_json_array",
+    "read_json_records",
     "read_or_empty",
     "scan",
     "split_file_report",
     "spread",
+    "text_fields",
     "with_row_index",
     "write_json_arrays",
     "write_raw",

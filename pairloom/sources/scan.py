@@ -8,10 +8,12 @@ yields the stored order; no shuffle or driver-side count is needed to fill eithe
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
+from pairloom.functions.text import as_text
 from pairloom.session import path_exists
 
 log = logging.getLogger(__name__)
@@ -28,6 +30,8 @@ ARRAY_TAIL = "\n  }\n]"
 # A file read as one JSON document is handled by one task, so its size is limited.
 MAX_WHOLE_DOCUMENT_BYTES = 128 * 1024 * 1024
 
+SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
+
 SPLIT_SCHEMA = T.StructType(
     [
         T.StructField("split_pos", T.LongType()),
@@ -65,12 +69,15 @@ def scan(
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spreads a scan of few row groups over the cores; one with enough partitions is unchanged.
+    """Spreads a small scan over all cores; a scan of more than 32 MB per core is unchanged.
 
-    Only an input smaller than one partition per core is ever shuffled here.
+    A parquet row group is read by one task, so a small file would leave the other cores idle
+    during text cleaning. What is shuffled here is bounded by the number of cores, not the data.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > cores * SPREAD_BYTES_PER_CORE:
         return df
     return df.repartition(cores, PART, POS)
 
@@ -81,32 +88,57 @@ def _block_name() -> Column:
 
 
 def read_or_empty(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    read: Callable[[SparkSession, str], DataFrame] = scan,
 ) -> DataFrame:
-    """``scan``, or no rows with the same columns and a warning if the path does not exist."""
+    """What ``read`` returns, or no rows of ``schema`` and a warning if the path does not exist."""
     if path_exists(spark, path):
-        return scan(spark, path, fmt, schema)
+        return read(spark, path)
     log.warning("no data at %s, continuing without it", path)
-    missing = [
-        f for f in (T.StructField(PART, T.StringType()), T.StructField(POS, T.LongType()))
-        if f.name not in schema.names
-    ]
-    return spark.createDataFrame([], T.StructType(list(schema.fields) + missing))
+    return spark.createDataFrame([], schema)
 
 
-def read_json_array(spark: SparkSession, path: str, layout: str = "indented") -> DataFrame:
-    """Files that each hold one JSON array of objects, as ``part, pos, v`` with a variant ``v``.
+def read_json_records(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+    """JSON objects as ``part, pos, v``, where the variant ``v`` keeps the type of every value.
 
-    ``layout="indented"`` is for arrays written with an indent of two. The lines between two
-    records then serve as record separator, so files are split into blocks like any text file: a
-    raw line break cannot occur inside a JSON string, and nested objects are indented deeper.
+    ``lines``     one object per line.
+    ``indented``  files that each hold one array of objects written with an indent of two. The
+                  lines between two records then serve as record separator, so a file is split
+                  into blocks like any text file: a raw line break cannot occur inside a JSON
+                  string, and nested objects are indented deeper.
+    ``document``  files that each hold one array in any layout; a file is parsed by one task, so
+                  its size is limited.
 
-    ``layout="any"`` parses each file as one document in one task, up to a size limit.
+    What is not valid JSON is an error.
     """
-    if layout == "any":
-        return _read_whole_documents(spark, path)
-    if layout != "indented":
-        raise ValueError(f"unknown layout {layout!r}")
+    if layout == "lines":
+        return _read_lines(spark, path)
+    if layout == "indented":
+        return _read_indented_arrays(spark, path)
+    if layout == "document":
+        return _read_documents(spark, path)
+    raise ValueError(f"unknown layout {layout!r}")
+
+
+def _read_lines(spark: SparkSession, path: str) -> DataFrame:
+    reader = spark.read.option("singleVariantColumn", "v").option("mode", "FAILFAST")
+    df = reader.json(path).select(
+        _block_name().alias("_block"), F.monotonically_increasing_id().alias("_row"), "v"
+    )
+    # Raw tables landed by `collect` state their own order.
+    part = F.try_variant_get("v", f"$.{PART}", "string")
+    pos = F.try_variant_get("v", f"$.{POS}", "bigint")
+    landed = part.isNotNull() & pos.isNotNull()
+    return df.select(
+        F.when(landed, part).otherwise(F.col("_block")).alias(PART),
+        F.when(landed, pos).otherwise(F.col("_row")).alias(POS),
+        "v",
+    )
+
+
+def _read_indented_arrays(spark: SparkSession, path: str) -> DataFrame:
     value = F.col("value")
     body = F.rtrim(value, F.lit("\n"))
     body = F.when(
@@ -119,12 +151,12 @@ def read_json_array(spark: SparkSession, path: str, layout: str = "indented") ->
         spark.read.option("lineSep", ARRAY_SEPARATOR)
         .text(path)
         .select(_block_name().alias(PART), F.monotonically_increasing_id().alias(POS), "value")
-        .where(~F.regexp_replace("value", r"^\s+|\s+$", "").isin("", "[]"))
+        .where(~F.trim(F.translate(value, "\n", " ")).isin("", "[]"))
         .select(PART, POS, F.parse_json(F.concat(F.lit("{"), body, F.lit("}"))).alias("v"))
     )
 
 
-def _read_whole_documents(spark: SparkSession, path: str) -> DataFrame:
+def _read_documents(spark: SparkSession, path: str) -> DataFrame:
     too_big = (
         spark.read.format("binaryFile").load(path)
         .where(F.col("length") > MAX_WHOLE_DOCUMENT_BYTES)
@@ -146,6 +178,17 @@ def _read_whole_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def text_fields(records: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Top-level fields of variant records as text; a missing field, null, number, boolean, list
+    or object counts as ``''`` and is not converted."""
+    kept = [c for c in records.columns if c != "v"]
+    fields = [
+        as_text(F.try_variant_get("v", f"$['{name}']", "variant"), T.VariantType()).alias(name)
+        for name in names
+    ]
+    return records.select(*kept, *fields)
+
+
 def with_row_index(df: DataFrame, name: str, within: tuple[str, ...] = ()) -> DataFrame:
     """Adds each row's place in stored order, counted from 0 (per ``within`` group if given).
 
@@ -176,33 +219,17 @@ def load_named_splits(
     """
     names = names or {"train": "train", "val": "validation"}
     df = spark.read.schema(SPLIT_SCHEMA).format(fmt).load(folder).where(F.col("split").isin(*names))
-    renamed = reduce(
-        lambda acc, item: acc.when(F.col("split") == item[0], F.lit(item[1])),
-        names.items(),
-        F.when(F.lit(False), F.lit(None)),
-    )
-    return df.withColumn("split", renamed)
+    renamed = [F.when(F.col("split") == old, F.lit(new)) for old, new in names.items()]
+    return df.withColumn("split", F.coalesce(*renamed))
 
 
 def load_split_files(
-    spark: SparkSession, files: dict[str, str], fmt: str = "json", layout: str | None = None
+    spark: SparkSession, files: dict[str, str], layout: str = "indented"
 ) -> DataFrame:
-    """Splits from files of another tool, one path per split name, in file order.
-
-    ``layout`` set means that the files hold JSON arrays (see ``read_json_array``); otherwise they
-    are tables in ``fmt`` with the columns ``instruction`` and ``response``.
-    """
+    """Splits from JSON files of another tool, one path per split name, in file order."""
     frames = []
     for name, path in files.items():
-        if layout:
-            rows = read_json_array(spark, path, layout).select(
-                PART,
-                POS,
-                F.try_variant_get("v", "$.instruction", "string").alias("instruction"),
-                F.try_variant_get("v", "$.response", "string").alias("response"),
-            )
-        else:
-            rows = scan(spark, path, fmt, "instruction string, response string")
+        rows = text_fields(read_json_records(spark, path, layout), ["instruction", "response"])
         rows = with_row_index(rows, "split_row").withColumn("split", F.lit(name))
         frames.append(rows.select("split", "split_row", "instruction", "response"))
     return reduce(DataFrame.unionByName, frames)
