@@ -6,6 +6,8 @@ they take the data type as an argument instead of testing it per row.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, functions as F, types as T
 
 # --- Fixed values -----------------------------------------------------------------------------
@@ -67,7 +69,11 @@ def collapse_whitespace(col: Column | str) -> Column:
 
 
 def straighten_quotes(col: Column | str) -> Column:
-    return F.translate(col, CURLY_QUOTES, STRAIGHT_QUOTES)
+    """Curly quotes to straight ones. ``translate`` looks up every character, so it is left to the
+    texts that have any; a byte search for the four quotes costs next to nothing."""
+    col = F.col(col) if isinstance(col, str) else col
+    has_any = reduce(Column.__or__, [F.contains(col, F.lit(q)) for q in CURLY_QUOTES])
+    return F.when(has_any, F.translate(col, CURLY_QUOTES, STRAIGHT_QUOTES)).otherwise(col)
 
 
 def clean_text(col: Column | str) -> Column:

@@ -8,8 +8,15 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 
 from pairloom.operators.order import ORDER, assign_split, seeded_order
 from pairloom.operators.pairs import clean_pairs, union_ordered
-from pairloom.sources.scan import read_json_records, read_or_empty, scan, spread, text_fields
-from pairloom.sources.sink import write_splits
+from pairloom.sources.readers import (
+    land,
+    read_json_records,
+    read_or_empty,
+    scan,
+    spread,
+    text_fields,
+)
+from pairloom.sources.writers import write_splits
 
 RAW_SCHEMA = T.StructType(
     [
@@ -54,7 +61,8 @@ def clean_and_split_folder(
     def read(spark: SparkSession, path: str) -> DataFrame:
         if layout == "parquet":
             return scan(spark, path)
-        return text_fields(read_json_records(spark, path, layout), ["instruction", "response"])
+        records = read_json_records(spark, path, layout)
+        return land(text_fields(records, ["instruction", "response"]))
 
     sources = [
         read_or_empty(spark, f"{raw_folder}/{name}", RAW_SCHEMA, read) for name in names

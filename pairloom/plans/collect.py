@@ -8,8 +8,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.sources.scan import scan
-from pairloom.sources.sink import write_raw
+from pairloom.sources.readers import scan
+from pairloom.sources.writers import write_raw
 
 log = logging.getLogger(__name__)
 

@@ -1,8 +1,9 @@
 """Scans and writes."""
 
-from pairloom.sources.scan import (
+from pairloom.sources.readers import (
     PART,
     POS,
+    land,
     load_named_splits,
     load_split_files,
     read_json_records,
@@ -12,7 +13,7 @@ from pairloom.sources.scan import (
     text_fields,
     with_row_index,
 )
-from pairloom.sources.sink import (
+from pairloom.sources.writers import (
     materialise_if_absent,
     split_file_report,
     write_json_arrays,
@@ -23,6 +24,7 @@ from pairloom.sources.sink import (
 __all__ = [
     "PART",
     "POS",
+    "land",
     "load_named_splits",
     "load_split_files",
     "materialise_if_absent",

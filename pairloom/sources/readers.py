@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from pairloom.functions.text import as_text
-from pairloom.session import path_exists
+from pairloom.session import new_folder, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -189,13 +189,26 @@ def text_fields(records: DataFrame, names: Sequence[str]) -> DataFrame:
     return records.select(*kept, *fields)
 
 
+def land(df: DataFrame) -> DataFrame:
+    """The rows as a parquet table in the shared folder.
+
+    Worthwhile for rows from JSON that are read more than once: parsing happens once, and the row
+    numbers assigned while reading become stored values that no later pass can see differently.
+    """
+    spark = df.sparkSession
+    folder = new_folder(spark, "landed")
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
 def with_row_index(df: DataFrame, name: str, within: tuple[str, ...] = ()) -> DataFrame:
     """Adds each row's place in stored order, counted from 0 (per ``within`` group if given).
 
     Rows of a part are numbered consecutively by the scan, so only the number of rows before each
     part is missing. That needs one small row per file or block; the data itself is joined to it
     without being sorted, and stays where it is whenever the part table is small enough for
-    Spark to broadcast. Use on a fresh scan: a filter before it would leave gaps.
+    Spark to broadcast. Use on a parquet scan or landed rows as they were stored: the rows are read
+    twice, so ``pos`` has to be the same each time, and a filter in between would leave gaps.
     """
     keys = [*within, PART]
     before = Window.partitionBy(*within).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
@@ -229,7 +242,8 @@ def load_split_files(
     """Splits from JSON files of another tool, one path per split name, in file order."""
     frames = []
     for name, path in files.items():
-        rows = text_fields(read_json_records(spark, path, layout), ["instruction", "response"])
-        rows = with_row_index(rows, "split_row").withColumn("split", F.lit(name))
+        records = read_json_records(spark, path, layout)
+        rows = with_row_index(land(text_fields(records, ["instruction", "response"])), "split_row")
+        rows = rows.withColumn("split", F.lit(name))
         frames.append(rows.select("split", "split_row", "instruction", "response"))
     return reduce(DataFrame.unionByName, frames)

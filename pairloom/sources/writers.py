@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from pairloom.session import path_exists
-from pairloom.sources.scan import ARRAY_HEAD, ARRAY_SEPARATOR, ARRAY_TAIL
+from pairloom.sources.readers import ARRAY_HEAD, ARRAY_SEPARATOR, ARRAY_TAIL
 
 SPLITS = ("train", "val", "test")
 
