@@ -29,7 +29,8 @@ def pair_counts(pairs: DataFrame, key: str = "instruction") -> DataFrame:
 def count_by_split(df: DataFrame, names: Sequence[str] = ("train", "val", "test")) -> DataFrame:
     """Rows per expected split, 0 for one without rows."""
     counted = df.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
-    expected = df.sparkSession.createDataFrame([(name,) for name in names], "split string")
+    one = df.sparkSession.range(1, numPartitions=1)
+    expected = one.select(F.explode(F.array(*map(F.lit, names))).alias("split"))
     return expected.join(counted, "split", "left").select(
         "split", F.coalesce("n_rows", F.lit(0)).alias("n_rows")
     )

@@ -97,7 +97,9 @@ def read_or_empty(
     if path_exists(spark, path):
         return read(spark, path)
     log.warning("no data at %s, continuing without it", path)
-    return spark.createDataFrame([], schema)
+    # Catalyst recognises this as empty and leaves it out of the plan.
+    fields = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).where(F.lit(False)).select(*fields)
 
 
 def read_json_records(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:

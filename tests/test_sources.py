@@ -214,6 +214,18 @@ def test_capped_read_is_pruned(spark, tmp_path):
         F.min("split_row").alias("lo"), F.max("split_row").alias("hi"), F.count("*").alias("n")
     )
     assert files.where("hi - lo + 1 <> n").count() == 0
+    in_order = F.col("split_row") - F.col("_metadata.row_index")
+    starts = spark.read.parquet(out).groupBy(F.col("_metadata.file_path")).agg(
+        F.countDistinct(in_order).alias("n")
+    )
+    assert starts.where("n <> 1").count() == 0
+
+
+def test_writing_leaves_the_session_as_it_was(spark, tmp_path):
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    write_splits(splits_of(spark, 5), str(tmp_path / "out"))
+    assert spark.conf.get(name) == before
 
 
 def test_materialise_only_once(spark, tmp_path):
