@@ -38,6 +38,7 @@ def collect(
             rows = source.resolve(scan(spark, source.path, source.fmt, **source.options))
             outcome.append((source.name, "saved", write_raw(rows, f"{folder}/{source.name}", fmt)))
         except Exception as error:  # whatever goes wrong with one source
-            log.warning("source %s failed: %s", source.name, error)
+            reason = str(error).partition("\n")[0]
+            log.warning("source %s failed: %s: %s", source.name, type(error).__name__, reason)
             outcome.append((source.name, "failed", 0))
     return spark.createDataFrame(outcome, "source string, status string, n_rows bigint")

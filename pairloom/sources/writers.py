@@ -34,23 +34,24 @@ def write_json_arrays(df: DataFrame, path: str) -> None:
     """
     record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
     inner = F.concat(F.lit("    "), F.substr(record, F.lit(2), F.length(record) - 2))
-    lines = df.select(inner.alias("value")).mapInPandas(_join_records, "value string")
-    lines.write.mode("overwrite").text(path)
-
 
-def _join_records(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    # The text writer ends every row with the line break that head, separator and tail start or
-    # end with, so it is left out here.
-    lead = ARRAY_HEAD
-    between = ARRAY_SEPARATOR.removeprefix("\n")
-    for batch in batches:
-        lines = between + batch["value"]
-        if lead == ARRAY_HEAD and len(lines):
-            lines.iloc[0] = lead + batch["value"].iloc[0]
-            lead = between
-        yield pd.DataFrame({"value": lines})
-    if lead != ARRAY_HEAD:
-        yield pd.DataFrame({"value": [ARRAY_TAIL.removeprefix("\n")]})
+    # Defined here so that it is sent to the executors whole, wherever the package is installed.
+    def join_records(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # The text writer ends every row with the line break that head, separator and tail start
+        # or end with, so it is left out here.
+        between = ARRAY_SEPARATOR.removeprefix("\n")
+        started = False
+        for batch in batches:
+            lines = between + batch["value"]
+            if not started and len(lines):
+                lines.iloc[0] = ARRAY_HEAD + batch["value"].iloc[0]
+                started = True
+            yield pd.DataFrame({"value": lines})
+        if started:
+            yield pd.DataFrame({"value": [ARRAY_TAIL.removeprefix("\n")]})
+
+    lines = df.select(inner.alias("value")).mapInPandas(join_records, "value string")
+    lines.write.mode("overwrite").text(path)
 
 
 def write_splits(df: DataFrame, folder: str, fmt: str = "parquet") -> None:

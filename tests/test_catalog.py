@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+
 import pytest
 
 import __spark_entry__ as contract
@@ -42,3 +45,20 @@ def test_entry(spark):
     df = contract.entry(spark)
     assert df.columns == ["instruction", "response", "split_pos", "split", "split_row"]
     assert df.count() > 0
+
+
+FROM_ELSEWHERE = """
+import importlib.util
+from pyspark.sql import SparkSession
+spec = importlib.util.spec_from_file_location("__spark_entry__", {path!r})
+contract = importlib.util.module_from_spec(spec)
+spec.loader.exec_module(contract)
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+for name in ("scan_json_array", "map_rows_pandas"):
+    assert contract.queries()[name](spark, "/root/testdata/sf0.001").count() > 0
+"""
+
+
+def test_python_workers_do_not_need_the_package(tmp_path):
+    script = FROM_ELSEWHERE.format(path=contract.__file__)
+    subprocess.run([sys.executable, "-c", script], cwd=tmp_path, check=True, timeout=300)
