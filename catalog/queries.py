@@ -359,7 +359,7 @@ def quotes_straightened(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def clean_text_documents(spark: SparkSession, sf: str) -> DataFrame:
-    wrapped = F.concat(F.lit("  “"), "text", F.lit("”\u001c　"))
+    wrapped = F.concat(F.lit("\u00a0\u2003“"), "text", F.lit("”\u001c\u3000"))
     return views.table(spark, sf, "documents").select(
         "doc_id", clean_text("text").alias("text"), clean_text(wrapped).alias("wrapped")
     )

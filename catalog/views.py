@@ -54,7 +54,7 @@ def b_overlap(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "documents").select(
         "part",
         "pos",
-        F.concat(F.lit("  "), "text", F.lit("\t")).alias("instruction"),
+        F.concat(F.lit("\u00a0 "), "text", F.lit("\t")).alias("instruction"),
         F.concat(F.lit("B: "), "text").alias("response"),
     )
 

@@ -59,7 +59,10 @@ def scan(
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path)
-    if {PART, POS} <= set(df.columns):
+    own = {PART, POS} & set(df.columns)
+    if len(own) == 1:
+        raise ValueError(f"column {own.pop()!r} of {path} has a reserved name; rename it")
+    if own:
         return df
     if fmt == "parquet":
         part, pos = F.col("_metadata.file_path"), F.col("_metadata.row_index")

@@ -106,6 +106,12 @@ def test_parquet_order_and_row_index(spark, tmp_path):
     assert df.where("row <> id").count() == 0 and df.count() == 1000
 
 
+def test_reserved_column_name(spark, tmp_path):
+    spark.range(3).withColumnRenamed("id", "pos").write.parquet(str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="reserved"):
+        scan(spark, str(tmp_path / "t"))
+
+
 def test_foreign_split_files_keep_their_order(spark, tmp_path, small_blocks):
     files = {}
     for name, n in (("train", 120), ("validation", 30)):
