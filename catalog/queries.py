@@ -452,7 +452,8 @@ def map_rows_pandas(spark: SparkSession, sf: str) -> DataFrame:
         return batch.assign(text=text)
 
     pairs = views.pairs(spark, sf).drop("part")
-    return map_rows(pairs, prompt, T.StructType(pairs.schema.fields + [T.StructField("text", T.StringType())]))
+    text = T.StructField("text", T.StringType())
+    return map_rows(pairs, prompt, T.StructType([*pairs.schema.fields, text]))
 
 
 @query

@@ -40,7 +40,6 @@ PROMPT_MISSING = "None"
 
 WHITESPACE = "".join(chr(c) for lo, hi in WHITESPACE_RANGES for c in range(lo, hi + 1))
 
-
 # Above this code point lie all curly quotes and the whitespace of other scripts.
 _HIGH_FROM = 0x1680
 _HIGH = f"[^\\x{{0}}-\\x{{{_HIGH_FROM - 1:x}}}]"

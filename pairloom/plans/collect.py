@@ -30,7 +30,8 @@ def collect(
 ) -> DataFrame:
     """Writes ``folder/<name>`` per source and returns ``source, status, n_rows``.
 
-    An error in one source is logged and does not stop the others. The raw tables keep ``part`` and ``pos``, as the names of the written files do not give the order.
+    An error in one source is logged and does not stop the others. The raw tables keep ``part``
+    and ``pos``, as the names of the written files do not give the order.
     """
     outcome = []
     for source in sources:

@@ -160,8 +160,9 @@ def test_caps(spark, cap, left):
     ],
 )
 def test_prepare_sizes(spark, options, sizes):
-    rows = [("train", i, "q", "a") for i in range(100)] + [("validation", i, "q", "a") for i in range(30)]
-    df = spark.createDataFrame(rows, "split string, split_row bigint, instruction string, response string")
+    rows = [(s, i, "q", "a") for s, n in (("train", 100), ("validation", 30)) for i in range(n)]
+    schema = "split string, split_row bigint, instruction string, response string"
+    df = spark.createDataFrame(rows, schema)
     counts = count_by_split(prepare_training_set(df, **options), ("train", "validation")).collect()
     assert {r.split: r.n_rows for r in counts} == dict(zip(("train", "validation"), sizes))
 
