@@ -6,10 +6,11 @@ import sys
 import pytest
 
 import __spark_entry__ as contract
+from catalog.oracle import ORACLE as SQL
+from catalog.queries import QUERIES
 from tests.oracle import connect, differences
 
 SF = "/root/testdata/sf0.01"
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,7 @@ def con():
 def test_only_file_sizes_have_no_sql():
     assert set(QUERIES) - set(SQL) == {"split_sizes_on_disk"}
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
