@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.llm import bpe
+from pairloom.llm import bpe, langid, quality
+from pairloom.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -27,3 +28,22 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def op1_bpe(spark: SparkSession, sf: str) -> DataFrame:
     tokenizer = public_tokenizers.path("byte_bpe_50k.json")
     return bpe.digests(table(spark, sf, "documents"), tokenizer)
+
+
+@query
+def op8_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf, "documents"))
+
+
+ORACLE["op8_quality"] = quality.ORACLE_SQL
+
+
+@query
+def op10_langid(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held = held_out("doc_id", 3, 1)
+    net = langid.fit(docs.where(~held))
+    found = langid.identify(docs.select("doc_id", "text", held.alias("held_out")), net)
+    return found.select(
+        "doc_id", "held_out", "lang_pred", found.lang_score.alias("score")
+    )
