@@ -11,9 +11,9 @@ and a copied state by what was cut from it and when. ``MergeAutomaton`` keeps th
 form and enters an arc in its transition table when it is first asked for: the full table would
 have a row and a column for each of 50,000 tokens.
 
-A word is encoded from left to right. Each position knows the state after the one accepted token
-sequence that ends there; of the tokens ending at the next position exactly one has an arc from the
-state where it starts. Decoding emits the bytes on the arcs.
+A word is encoded by following arcs from the start, longest token first; a position from which
+nothing leads on is left again, and at most once, as only one accepted sequence of tokens ends at any
+position. Decoding emits the bytes on the arcs.
 """
 
 from __future__ import annotations
@@ -122,38 +122,42 @@ class MergeAutomaton:
         self._forget()
 
     def encode_word(self, word: bytes) -> list[int]:
-        """The tokens of one word, which no token crosses."""
-        whole = self.token_of.get(word)
-        table, token_of, longest = self.table, self.token_of, self.longest
+        """The tokens of one word, which no token crosses.
+
+        Follows arcs from the start, the longest token first. At most one accepted sequence ends at
+        each position, so a position from which the word cannot be finished is left for good.
+        """
+        token_of, table, size, longest = self.token_of, self.table, self.size, self.longest
         if len(table) > TABLE_ARCS:
             table.clear()
-        state = [-1] * (len(word) + 1)
-        for end in range(1, len(word) + 1):
-            for start in range(max(0, end - longest), end):
-                if start and state[start] < 0:
-                    continue
-                token = token_of.get(word[start:end])
-                if token is None:
-                    continue
-                if start == 0:
-                    state[end] = token
-                    break
-                arc = state[start] * self.size + token
-                there = table.get(arc)
-                if there is None:
-                    there = table[arc] = self._arc(state[start], token)
-                if there:
-                    state[end] = token
-                    break
-            else:
+        tokens, ends, dead = [], [0], set()
+        at, length = 0, len(word)
+        end = length if length < longest else longest
+        while at < length:
+            while end > at:
+                token = token_of.get(word[at:end])
+                if token is not None and end not in dead:
+                    if at == 0:
+                        break
+                    arc = tokens[-1] * size + token
+                    there = table.get(arc)
+                    if there is None:
+                        there = table[arc] = self._arc(tokens[-1], token)
+                    if there:
+                        break
+                end -= 1
+            if end > at:
+                tokens.append(token)
+                ends.append(end)
+                at, end = end, min(length, end + longest)
+            elif at == 0:
                 raise ValueError(f"the vocabulary cannot spell {word!r}")
-        if whole is not None and state[len(word)] == whole:
-            return [whole]
-        tokens, end = [], len(word)
-        while end:
-            tokens.append(state[end])
-            end -= len(self.label[state[end]])
-        return tokens[::-1]
+            else:
+                dead.add(at)
+                tokens.pop()
+                end = ends.pop() - 1
+                at = ends[-1]
+        return tokens
 
     def _encode_ordinary(self, text: str) -> bytes:
         if not text:
