@@ -6,7 +6,7 @@ import sys
 import zlib
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairloom.session import new_folder
 
@@ -63,3 +63,23 @@ def held_out(col: str, modulus: int, remainder: int) -> Column:
 def row_hash(*cols: str) -> Column:
     """A number by which rows are drawn or dealt: it depends on the values only."""
     return F.xxhash64(*[F.col(c) for c in cols])
+
+
+def ranked(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Adds each row's place, from 0, in the order of the given columns over the whole table.
+
+    Rows are dealt into sorted stretches, and a stretch begins after all rows of those before it; the
+    table of stretches has one row per task. No task sees more than its stretch.
+    """
+    stretch, place, key, before, rows = fresh(df, "_stretch", "_place", "_key", "_before", "_rows")
+    dealt = df.withColumn(key, F.struct(*order)).repartitionByRange(F.col(key))
+    dealt = stored(dealt.withColumn(stretch, F.spark_partition_id()), "ranked")
+    sizes = dealt.groupBy(stretch).agg(F.count(F.lit(1)).alias(rows))
+    earlier = Window.orderBy(stretch).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(stretch, F.coalesce(F.sum(rows).over(earlier), F.lit(0)).alias(before))
+    within = Window.partitionBy(stretch).orderBy(key)
+    return (
+        dealt.withColumn(place, F.row_number().over(within))
+        .join(F.broadcast(starts), stretch)
+        .select(*df.columns, (F.col(before) + F.col(place) - 1).alias(name))
+    )

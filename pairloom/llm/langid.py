@@ -243,21 +243,31 @@ def fit(
     The documents are drawn by a hash of their text. Of each, up to three windows spread over the
     text are used. Rows without text or label do not count. Without any the network knows nothing.
     """
-    rows = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull() & (F.col(text) != ""))
-    order = Window.partitionBy("_language").orderBy("_draw", "_text")
-    drawn = (
-        rows.select(F.col(language).cast("string").alias("_language"), F.col(text).alias("_text"), row_hash(text).alias("_draw"))
+    size = SPAN + 2 * CONTEXT
+    length = F.length(text)
+    places = [F.lit(1), F.greatest(F.lit(1), F.floor(length / 2).cast("int")), F.greatest(F.lit(1), length - size)]
+    name = F.col(language).cast("string")
+    rows = labelled.where(F.col(text).isNotNull() & F.col(language).isNotNull() & (F.col(text) != "")).select(
+        name.alias("_language"), row_hash(text).alias("_draw"), row_hash(*labelled.columns).alias("_row"),
+        *[F.substring(text, p, F.lit(size)).alias(f"_w{k}") for k, p in enumerate(places)],
+    )
+    counts = rows.groupBy("_language").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
+    if len(counts) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    # Of a frequent language a fraction by row hash is enough to choose from, and is dealt out
+    # instead of all its rows. Eight times the sample makes fewer than wanted all but impossible.
+    share = F.lit(1.0)
+    for row in counts:
+        share = F.when(F.col("_language") == row._language, min(1.0, 8 * per_language / row.n)).otherwise(share)
+    position = F.pmod("_row", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    order = Window.partitionBy("_language").orderBy("_draw", "_row")
+    picked = (
+        rows.where(position < share)
         .withColumn("_rank", F.row_number().over(order))
         .where(F.col("_rank") <= per_language)
     )
-    size = SPAN + 2 * CONTEXT
-    length = F.length("_text")
-    places = [F.lit(1), F.greatest(F.lit(1), F.floor(length / 2).cast("int")), F.greatest(F.lit(1), length - size)]
-    picked = drawn.select("_language", *[F.substring("_text", p, F.lit(size)).alias(f"_w{k}") for k, p in enumerate(places)])
     sample = picked.orderBy("_language", "_w0", "_w1", "_w2").collect()
     languages = sorted({r._language for r in sample})
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
     windows, masks, labels = [], [], []
     for row in sample:
         for piece in dict.fromkeys((row._w0, row._w1, row._w2)):

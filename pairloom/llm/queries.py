@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.llm import bpe, langid, quality
+from pairloom.llm import bpe, langid, mixing, quality, toxicity, urlfilter
 from pairloom.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,3 +47,31 @@ def op10_langid(spark: SparkSession, sf: str) -> DataFrame:
     return found.select(
         "doc_id", "held_out", "lang_pred", found.lang_score.alias("score")
     )
+
+
+@query
+def op3_mixing(spark: SparkSession, sf: str) -> DataFrame:
+    return mixing.report(table(spark, sf, "documents"))
+
+
+ORACLE["op3_mixing"] = mixing.ORACLE_SQL
+
+
+@query
+def op9_urls(spark: SparkSession, sf: str) -> DataFrame:
+    return urlfilter.verdicts(table(spark, sf, "pages"))
+
+
+ORACLE["op9_urls"] = urlfilter.ORACLE_SQL
+
+
+@query
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held = held_out("doc_id", 4, 2)
+    labels = table(spark, sf, "labels").select("doc_id", "toxic")
+    model = toxicity.fit(toxicity.with_labels(docs, labels.where(~held)))
+    scored = toxicity.score(docs.withColumn("held_out", held), model)
+    return scored.select(
+        "doc_id", "held_out", scored.toxicity.alias("score"), scored.toxic_predicted.alias("predicted")
+    )
