@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe, langid, mixing, quality, toxicity, urlfilter
+from pairloom.llm import bpe, langid, lm, mixing, quality, toxicity, urlfilter
 from pairloom.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,3 +75,20 @@ def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select(
         "doc_id", "held_out", scored.toxicity.alias("score"), scored.toxic_predicted.alias("predicted")
     )
+
+
+@query
+def op7_lm(spark: SparkSession, sf: str) -> DataFrame:
+    learn = ~held_out("doc_id", 5, 1)
+    docs = table(spark, sf, "documents").select("doc_id", "text").withColumn("learn", learn)
+    model, counts = lm.fit(docs, public_tokenizers.path("byte_bpe_50k.json"), "text", "learn")
+    scored = lm.score(docs, model, counts)
+    return scored.select(
+        "doc_id",
+        (~scored.learn).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("long").alias("train_tokens"),
+        "base_score",
+        scored.lm_score.alias("score"),
+    )
