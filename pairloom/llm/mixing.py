@@ -25,7 +25,7 @@ WEIGHTS = (5, 2, 1)
 MOST = 3
 NEWTON_STEPS = 64
 SLACK = 1e-9
-BUCKET_DIGITS = 4  # hexadecimal digits of the hash that name a bucket
+BUCKET_DIGITS = 3  # hexadecimal digits of the hash that name a bucket
 
 
 def source_targets(

@@ -70,7 +70,7 @@ def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
     held = held_out("doc_id", 4, 2)
     labels = table(spark, sf, "labels").select("doc_id", "toxic")
-    model = toxicity.fit(toxicity.with_labels(docs, labels.where(~held)))
+    model = toxicity.fit(docs, labels.where(~held))
     scored = toxicity.score(docs.withColumn("held_out", held), model)
     return scored.select(
         "doc_id", "held_out", scored.toxicity.alias("score"), scored.toxic_predicted.alias("predicted")

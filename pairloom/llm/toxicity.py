@@ -19,17 +19,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
-from pairloom.llm.common import fresh, row_hash, ship, stored
+from pairloom.llm.common import fresh, ship, stored
 
 ship(__name__)
 
 THRESHOLD = 0.3
-SAMPLE_PER_LABEL = 6000  # labelled documents per label that are learned from
+SAMPLE_PER_LABEL = 4000  # labelled documents per label that are learned from
 PREFIXES = range(3, 9)  # lengths of word beginnings that may become terms
-CANDIDATES = 3000  # terms kept by the strength of their tie to the label
-FEATURES = 800  # of these, terms that the classifier weighs
+CANDIDATES = 1500  # terms kept by the strength of their tie to the label
+FEATURES = 500  # of these, terms that the classifier weighs
 LEXICON_VOTERS = 48
 LEAST_Z = 3.0
 ANNOTATORS = 0.98  # taken for the accuracy of the labels
@@ -214,39 +214,50 @@ def count_terms(sample: DataFrame, text: str, label: str, most: int = CANDIDATES
     return [(r.term, r.z) for r in kept.collect()]
 
 
-def draw_sample(labelled: DataFrame, text: str, label: str, per_label: int) -> DataFrame:
-    """At most ``per_label`` documents of either label, by a hash of the row; null labels left out."""
-    rows = labelled.where(F.col(label).isin(0, 1)).select(
-        F.coalesce(F.col(text), F.lit("")).alias("text"), F.col(label).cast("int").alias("label"),
-        F.pmod(row_hash(*labelled.columns), F.lit(1 << 30)).alias("_draw"),
-    )
-    n = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    share = lambda v: min(1.0, 4 * per_label / max(n.get(v, 0), 1)) * (1 << 30)
-    near = rows.where(F.col("_draw") < F.when(F.col("label") == 1, share(1)).otherwise(share(0)))
-    # Ranked without the text, then found again by row hash: whole texts are not moved to one task.
-    order = Window.partitionBy("label").orderBy("_draw")
-    ranked = near.select("label", "_draw").withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_label)
-    last = {r.label: r.d for r in ranked.groupBy("label").agg(F.max("_draw").alias("d")).collect()}
-    bound = F.when(F.col("label") == 1, last.get(1, -1)).otherwise(last.get(0, -1))
-    return stored(near.where(F.col("_draw") <= bound).drop("_draw"), "labelled")
+def draw_sample(
+    docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, per_label: int
+) -> DataFrame:
+    """``text, label`` of at most ``per_label`` documents of either label, drawn by a hash of the id.
+
+    The ids are drawn first, so that texts are neither shuffled nor sorted: a bounded table of ids
+    is broadcast to the documents. Of several documents with one id the least text is taken.
+    """
+    drawn = None
+    for value in (0, 1):
+        of_label = labels.where(F.col(label) == value).select(F.col(doc_id).alias("_id"), F.lit(value).alias("label"))
+        some = of_label.orderBy(F.xxhash64("_id"), "_id").limit(per_label)
+        drawn = some if drawn is None else drawn.unionByName(some)
+    drawn = stored(drawn, "drawn-ids")
+    found = docs.select(F.col(doc_id).alias("_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(drawn), "_id")
+    return stored(found.groupBy("_id", "label").agg(F.min("text").alias("text")).select("text", "label"), "labelled")
+
+
+def one_label(labels: DataFrame, doc_id: str = "doc_id", label: str = "toxic") -> DataFrame:
+    """One row per id with a label of 0 or 1; of several labels of an id the highest counts."""
+    known = labels.where(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
+    return known.groupBy(doc_id).agg(F.max(label).cast("int").alias(label))
 
 
 def fit(
-    labelled: DataFrame, text: str = "text", label: str = "toxic", per_label: int = SAMPLE_PER_LABEL
+    docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
+    per_label: int = SAMPLE_PER_LABEL,
 ) -> Classifier:
-    """A classifier learned from documents with a column ``label`` of 0 and 1.
+    """A classifier learned from documents that have a label of 0 or 1 in the table of labels.
 
-    Rows with another label or none are not learned from. Without toxic or without clean examples
-    every text scores the share of toxic labels.
+    Labels that are something else, null, or of no document are not learned from. Without toxic or
+    without clean examples every text scores the share of toxic labels.
     """
-    rows = labelled.where(F.col(label).isin(0, 1))
-    overall = {r[label]: r.n for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = one_label(labels, doc_id, label)
+    overall = {r[label]: r.n for r in known.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = overall.get(1, 0), overall.get(0, 0)
     base = (n1 + 0.5) / (n1 + n0 + 1.0) if n1 + n0 else 0.01
     base_odds = math.log(base / (1 - base))
+    nothing = Classifier(Lexicon([]), np.array([0.0, 0.0, 0.0, base_odds]))
     if not n1 or not n0:
-        return Classifier(Lexicon([]), np.array([0.0, 0.0, 0.0, base_odds]))
-    sample = draw_sample(labelled, text, label, per_label)
+        return nothing
+    sample = draw_sample(docs, known, doc_id, text, label, per_label)
+    if sample.select("label").distinct().count() < 2:
+        return nothing
     terms = count_terms(sample, "text", "label")
     lexicon = Lexicon([t for t, _ in terms])
 
@@ -329,8 +340,3 @@ def score(docs: DataFrame, model: Classifier, text: str = "text", threshold: flo
 
     return docs.mapInArrow(run, schema)
 
-
-def with_labels(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", label: str = "toxic") -> DataFrame:
-    """Documents that have a label; of several labels of an id the highest counts."""
-    one = labels.where(F.col(label).isNotNull()).groupBy(doc_id).agg(F.max(label).alias(label))
-    return docs.join(one, doc_id)
