@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe, jaccard, langid, lm, mixing, quality, toxicity, urlfilter
+from pairloom.llm import bpe, jaccard, langid, lm, mixing, neighbours, quality, toxicity, urlfilter
 from pairloom.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,8 @@ def op7_lm(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op6_jaccard(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard.near_copies(table(spark, sf, "documents"))
+
+
+@query
+def op2_nearest(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
