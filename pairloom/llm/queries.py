@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -102,3 +103,12 @@ def op6_jaccard(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def op2_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
