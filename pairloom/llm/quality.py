@@ -121,10 +121,16 @@ def measure(docs: DataFrame, text: str = "text") -> tuple[DataFrame, dict[str, s
     ), called
 
 
+def draw(docs: DataFrame, rows: int) -> DataFrame:
+    """At most ``rows`` rows, by a hash of their values; the share is chosen so that few more are read."""
+    kept = [c for c, kind in docs.dtypes if "map" not in kind and "variant" not in kind]
+    share = min(1.0, 2 * rows / max(docs.count(), 1))
+    return docs.where(F.pmod(row_hash(*kept), F.lit(1 << 30)) < int(share * (1 << 30))).limit(rows)
+
+
 def estimate(docs: DataFrame, rules: Sequence[Rule], rows: int = SAMPLE_ROWS) -> list[Measured]:
     """Times every rule on at most ``rows`` rows, drawn by a hash of their values."""
-    kept = [c for c, kind in docs.dtypes if "map" not in kind and "variant" not in kind]
-    drawn = docs.where(F.pmod(row_hash(*kept), F.lit(16)) == 0).limit(rows).persist()
+    drawn = draw(docs, rows).persist()
     try:
         n = drawn.count()
         found = []
@@ -182,7 +188,7 @@ def rules_for_prose(text: Column, called: dict[str, str]) -> list[Rule]:
 def verdicts(docs: DataFrame) -> DataFrame:
     """The counts of every document, whether it fails the base rules, and whether it is kept."""
     counted, called = measure(docs.select("doc_id", "text"))
-    sample, _ = measure(docs.select("doc_id", "text").where(F.pmod(row_hash("doc_id", "text"), F.lit(8)) == 0).limit(SAMPLE_ROWS))
+    sample, _ = measure(draw(docs.select("doc_id", "text"), SAMPLE_ROWS))
     rules = rules_for_prose(F.coalesce("text", F.lit("")), called)
     base, others = rules[:2], rules[2:]
     failed = rejected(base)
