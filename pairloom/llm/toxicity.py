@@ -175,7 +175,7 @@ def choose_voters(has: np.ndarray, label: np.ndarray, strength: np.ndarray, most
     open_ = label == 1
     wrong = has[label == 0].sum(axis=0)
     chosen: list[int] = []
-    while len(chosen) < most and open_.any():
+    while len(chosen) < min(most, len(strength)) and open_.any():
         gain = has[open_].sum(axis=0) / (1.0 + wrong)
         gain[chosen] = 0
         best = int(np.lexsort((strength, gain))[-1])
