@@ -9,8 +9,8 @@ tree is its strings in order: those that share a prefix with a query stand next
 A query descends all trees to where the longest prefixes match, and ascends them together, one symbol at
 a time, until the prefixes it shares have enough strings under them; on the last level it takes tree after
 tree until they are enough. How many are enough grows with the number of classes, ``CANDIDATES * n **
-GROWTH``: on vectors without structure a fixed number would find ever less. Small tables are ascended to
-the root, which is an exact search. Strings are counted by prefix and looked up by prefix; the strings
+GROWTH``: on vectors without structure a fixed number would find ever less. Where as many as there are
+would be wanted, the root is, and the search is exact. Strings are counted by prefix and looked up by prefix; the strings
 under one prefix are dealt out in blocks, and each block is compared with its queries by one matrix
 product.
 """
@@ -65,7 +65,10 @@ def usable(vectors: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def _strings(classes: DataFrame, longest: DataFrame) -> DataFrame:
-    """``class, asks, tree, string``: strings of data, and of queries as queries."""
+    """``class, asks, tree, string``: strings of data, and of queries as queries.
+
+    ``itself`` says of a query how many symbols its own string as data begins with.
+    """
     longest_of = {r.size: r.norm for r in longest.collect()}  # one row per vector length
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -84,30 +87,33 @@ def _strings(classes: DataFrame, longest: DataFrame) -> DataFrame:
                     asked = np.flatnonzero(asks[at])
                     query = np.column_stack([same[asked] / norm[asked, None], np.zeros(len(asked))]).astype(np.float32)
                     for tree in range(TREES):
-                        for kind, rows, who in ((False, data, at), (True, query, at[asked])):
-                            if len(rows):
-                                strings = hash_strings(rows, tree)
-                                yield pa.RecordBatch.from_arrays(
-                                    [pa.array(ids[who]), pa.array([kind] * len(who)), pa.array([tree] * len(who), pa.int32()),
-                                     pa.array([s.tobytes() for s in strings], pa.binary())],
-                                    names=["class", "asks", "tree", "string"],
-                                )
+                        own = hash_strings(data, tree)
+                        sought = hash_strings(query, tree) if len(asked) else own[:0]
+                        itself = np.cumprod(sought == own[asked], axis=1).sum(axis=1)
+                        for kind, strings, who, met in ((False, own, at, np.zeros(len(at), int)), (True, sought, at[asked], itself)):
+                            yield pa.RecordBatch.from_arrays(
+                                [pa.array(ids[who]), pa.array([kind] * len(who), pa.bool_()), pa.array([tree] * len(who), pa.int32()),
+                                 pa.array([s.tobytes() for s in strings], pa.binary()), pa.array(met, pa.int32())],
+                                names=["class", "asks", "tree", "string", "itself"],
+                            )
 
-    return classes.select("class", "asks", "packed").mapInArrow(run, "class long, asks boolean, tree int, string binary")
+    return classes.select("class", "asks", "packed").mapInArrow(run, "class long, asks boolean, tree int, string binary, itself int")
 
 
 def _visits(strings: DataFrame, sizes: dict[int, int], wanted) -> DataFrame:
     """``class, tree, depth, prefix``: the prefixes that each query looks under."""
     deep = F.explode(F.sequence(F.lit(1), F.lit(SYMBOLS))).alias("depth")
-    leveled = strings.select("class", "size", "asks", "tree", deep, "string").withColumn("prefix", F.expr("substring(string, 1, depth)"))
+    leveled = strings.select("class", "size", "asks", "tree", "itself", deep, "string").withColumn("prefix", F.expr("substring(string, 1, depth)"))
     key = ["size", "tree", "depth", "prefix"]
     counts = leveled.groupBy(*key).agg(F.count_if(~F.col("asks")).alias("n"), F.count_if("asks").alias("q")).where("q > 0 AND n > 0")
-    asked = leveled.where("asks").join(counts.select(*key, "n"), key)
+    # A query does not find itself.
+    others = F.col("n") - (F.col("itself") >= F.col("depth")).cast("long")
+    asked = leveled.where("asks").join(counts.select(*key, "n"), key).withColumn("others", others)
     by_level = Window.partitionBy("class", "depth").orderBy("tree").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy("class", "depth")
     summed = (
-        asked.withColumn("before", F.coalesce(F.sum("n").over(by_level), F.lit(0)))
-        .withColumn("hits", F.sum("n").over(everything))
+        asked.withColumn("before", F.coalesce(F.sum("others").over(by_level), F.lit(0)))
+        .withColumn("hits", F.sum("others").over(everything))
         .withColumn("wanted", wanted)
     )
     # The deepest level with enough strings; 0, the root, if there is none.
@@ -117,7 +123,7 @@ def _visits(strings: DataFrame, sizes: dict[int, int], wanted) -> DataFrame:
     # Trees that are not ascended any more are left one level deeper, as are all above the root.
     reached = F.max(F.when(at_level, F.col("tree"))).over(level)
     deeper = (F.col("depth") == F.col("level") + 1) & (F.col("tree") > reached)
-    return chosen.withColumn("at", at_level).withColumn("below", deeper).where("at OR below").select("class", *key, "n")
+    return chosen.withColumn("at", at_level).withColumn("below", deeper).where("at OR below").select("class", *key, "n", "others")
 
 
 def nearest(vectors: DataFrame, is_query, vec_id: str = "vec_id", vector: str = "embedding", k: int = NEAREST) -> DataFrame:
@@ -151,16 +157,17 @@ def nearest(vectors: DataFrame, is_query, vec_id: str = "vec_id", vector: str =
     strings = stored(_strings(classes, longest.select("size", "norm")).join(classes.select("class", "size"), "class"), "strings")
     wanted = F.lit(float("inf"))
     for size, n in n_of.items():
-        wanted = F.when(F.col("size") == size, F.lit(math.ceil(CANDIDATES * n**GROWTH))).otherwise(wanted)
+        enough = CANDIDATES * n**GROWTH
+        wanted = F.when(F.col("size") == size, F.lit(enough if enough < n else math.inf)).otherwise(wanted)
     visits = stored(_visits(strings, n_of, wanted), "visits")
     # Queries for which no level has enough are compared with all; the root is one prefix of one tree.
-    to_root = classes.where("asks").join(visits.where(F.col("depth") > 0).groupBy("class").agg(F.sum("n").alias("hits")), "class", "left")
+    to_root = classes.where("asks").join(visits.where(F.col("depth") > 0).groupBy("class").agg(F.sum("others").alias("hits")), "class", "left")
     short = F.coalesce("hits", F.lit(0)) < wanted
     root_n = F.lit(0)
     for size, n in n_of.items():
         root_n = F.when(F.col("size") == size, F.lit(n)).otherwise(root_n)
     root = to_root.where(short).select("class", "size", F.lit(0).alias("tree"), F.lit(0).alias("depth"), F.lit(b"").alias("prefix"), root_n.cast("long").alias("n"))
-    visits = stored(visits.join(root.select("class"), "class", "left_anti").unionByName(root), "visited")
+    visits = stored(visits.drop("others").join(root.select("class"), "class", "left_anti").unionByName(root), "visited")
 
     key = ["size", "tree", "depth", "prefix"]
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
