@@ -87,7 +87,7 @@ def scan_json_array(spark: SparkSession, sf: str) -> DataFrame:
 def scan_json_lines(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "lines")
     write_raw(views.b_raw(spark, sf), folder)
-    records = read_json_records(spark, folder, "lines")
+    records = read_json_records(spark, folder, "lines", landed=True)
     return text_fields(records, ["question", "answer", "no_such_field"]).drop("part")
 
 
@@ -168,9 +168,15 @@ def materialise_twice(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def split_sizes_on_disk(spark: SparkSession, sf: str) -> DataFrame:
+    """Of plain text lines, whose size follows from the rows; with a split and a folder missing."""
     folder = new_folder(spark, "splits")
-    write_splits(views.splits(spark, sf), folder)
-    return split_file_report(spark, folder)
+    lines = views.splits(spark, sf).where("split <> 'test'").select("split", "instruction")
+    lines.write.partitionBy("split").option("compression", "none").text(folder)
+    reports = [
+        split_file_report(spark, path).select(F.lit(name).alias("folder"), "split", "present", "size_mb")
+        for name, path in (("written", folder), ("absent", new_folder(spark, "no-splits")))
+    ]
+    return reports[0].unionByName(reports[1])
 
 
 # Projections -----------------------------------------------------------------------------------
@@ -430,6 +436,24 @@ def clean_split(spark: SparkSession, sf: str) -> DataFrame:
     return views.splits(spark, sf)
 
 
+@query
+def failed_source_then_split(spark: SparkSession, sf: str) -> DataFrame:
+    """One source fails inside its tasks; the split goes on with the other."""
+
+    def failing(df: DataFrame) -> DataFrame:
+        broken = F.raise_error(F.concat(F.lit("broken row "), F.col("page_id"))).cast("string")
+        return df.select("part", "pos", F.col("url").alias("instruction"), broken.alias("response"))
+
+    raw, out = new_folder(spark, "raw"), new_folder(spark, "splits")
+    sources = [
+        Source("good", f"{sf}/documents.parquet", views.label_documents),
+        Source("bad", f"{sf}/pages.parquet", failing),
+    ]
+    collect(spark, sources, raw)
+    clean_and_split_folder(spark, raw, ["good", "bad"], out)
+    return spark.read.parquet(out)
+
+
 @query
 def clean_split_folder(spark: SparkSession, sf: str) -> DataFrame:
     raw, out = new_folder(spark, "raw"), new_folder(spark, "splits")
@@ -442,7 +466,7 @@ def clean_split_folder(spark: SparkSession, sf: str) -> DataFrame:
 def prepare_training_rows(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "splits")
     write_splits(views.splits(spark, sf), folder)
-    return prepare_training_set(load_named_splits(spark, folder), **FULL_RUN_CAPS)
+    return prepare_training_set(load_named_splits(spark, folder))
 
 
 @query

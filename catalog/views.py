@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.operators import clean_pairs, resolve_pair, union_ordered
 from pairloom.plans import clean_and_split
-from pairloom.sources import scan, spread
+from pairloom.sources import scan
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spread(scan(spark, f"{sf}/{name}.parquet"))
+    return scan(spark, f"{sf}/{name}.parquet")
 
 
 def label_documents(documents: DataFrame) -> DataFrame:

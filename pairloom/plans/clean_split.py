@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pairloom.operators.order import ORDER, assign_split, seeded_order
 from pairloom.operators.pairs import clean_pairs, union_ordered
 from pairloom.sources.readers import (
+    delete_landed,
     land,
     read_json_records,
     read_or_empty,
@@ -51,20 +52,33 @@ def clean_and_split_folder(
     layout: str = "parquet",
     out_fmt: str = "parquet",
     seed: int = 42,
+    fractions: tuple[float, float] = (0.8, 0.1),
+    partitions: int | None = None,
+    input_partitions: int | None = None,
 ) -> None:
     """``clean_and_split`` from raw tables or files to split folders, replacing what is there.
 
     ``names`` are in order of precedence; a source that is not there counts as empty. ``layout``
     is ``parquet`` or one of ``read_json_records``; either way a value that is not text is empty.
+    Raw tables that ``collect`` has written carry their order. ``partitions`` sizes the shuffle of whole
+    rows, ``input_partitions`` deals small inputs out to more tasks. Landed copies are deleted at the end.
     """
+    copies = []
 
     def read(spark: SparkSession, path: str) -> DataFrame:
         if layout == "parquet":
-            return scan(spark, path)
-        records = read_json_records(spark, path, layout)
-        return land(text_fields(records, ["instruction", "response"]))
+            return scan(spark, path, landed=True)
+        records = read_json_records(spark, path, layout, landed=True)
+        rows = land(text_fields(records, ["instruction", "response"]))
+        copies.append(rows)
+        return rows
 
     sources = [
         read_or_empty(spark, f"{raw_folder}/{name}", RAW_SCHEMA, read) for name in names
     ]
-    write_splits(clean_and_split([spread(s) for s in sources], seed), out_folder, out_fmt)
+    try:
+        dealt = [spread(s, input_partitions) for s in sources]
+        write_splits(clean_and_split(dealt, seed, fractions, partitions), out_folder, out_fmt)
+    finally:
+        for rows in copies:
+            delete_landed(rows)

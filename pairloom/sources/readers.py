@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from pairloom.functions.text import as_text
-from pairloom.session import new_folder, path_exists
+from pairloom.session import delete_folder, has_data, new_folder
 
 log = logging.getLogger(__name__)
 
@@ -27,11 +27,6 @@ ARRAY_SEPARATOR = "\n  },\n  {\n"
 ARRAY_TAIL = "\n  }\n]"
 # ----------------------------------------------------------------------------------------------
 
-# A file read as one JSON document is handled by one task, so its size is limited.
-MAX_WHOLE_DOCUMENT_BYTES = 128 * 1024 * 1024
-
-SPREAD_BYTES_PER_CORE = 32 * 1024 * 1024
-
 SPLIT_SCHEMA = T.StructType(
     [
         T.StructField("split_pos", T.LongType()),
@@ -48,22 +43,25 @@ def scan(
     path: str | list[str],
     fmt: str = "parquet",
     schema: T.StructType | str | None = None,
+    landed: bool = False,
     **options: str,
 ) -> DataFrame:
-    """All rows of a dataset with ``part`` and ``pos``; columns that already have these names win.
+    """All rows of a dataset with ``part`` and ``pos``.
 
     Parquet knows each row's index in its file. The other formats are ordered by file, offset of
-    the file block, and order of reading within the block.
+    the file block, and order of reading within the block. ``landed`` says that the table was written
+    with both columns, as ``collect`` does, and that they are its order. Otherwise columns that a
+    dataset happens to have under these names are an error, not an order.
     """
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.load(path)
     own = {PART, POS} & set(df.columns)
-    if len(own) == 1:
-        raise ValueError(f"column {own.pop()!r} of {path} has a reserved name; rename it")
-    if own:
+    if landed and len(own) == 2:
         return df
+    if own:
+        raise ValueError(f"column {min(own)!r} of {path} has a reserved name; rename it")
     if fmt == "parquet":
         part, pos = F.col("_metadata.file_path"), F.col("_metadata.row_index")
     else:
@@ -71,18 +69,13 @@ def scan(
     return df.select("*", part.alias(PART), pos.alias(POS))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spreads a small scan over all cores; a scan of more than 32 MB per core is unchanged.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Deals the rows of a scan out to ``partitions`` tasks; with ``None`` they stay where they are.
 
-    A parquet row group is read by one task, so a small file would leave the other cores idle
-    during text cleaning. What is shuffled here is bounded by the number of cores, not the data.
+    For inputs of few row groups or files on many cores. It shuffles the raw rows, so it is never
+    done unless asked for.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > cores * SPREAD_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores, PART, POS)
+    return df if partitions is None else df.repartition(partitions, PART, POS)
 
 
 def _block_name() -> Column:
@@ -97,7 +90,7 @@ def read_or_empty(
     read: Callable[[SparkSession, str], DataFrame] = scan,
 ) -> DataFrame:
     """What ``read`` returns, or no rows of ``schema`` and a warning if the path does not exist."""
-    if path_exists(spark, path):
+    if has_data(spark, path):
         return read(spark, path)
     log.warning("no data at %s, continuing without it", path)
     # Catalyst recognises this as empty and leaves it out of the plan.
@@ -105,7 +98,9 @@ def read_or_empty(
     return spark.range(1).where(F.lit(False)).select(*fields)
 
 
-def read_json_records(spark: SparkSession, path: str, layout: str = "lines") -> DataFrame:
+def read_json_records(
+    spark: SparkSession, path: str, layout: str = "lines", landed: bool = False
+) -> DataFrame:
     """JSON objects as ``part, pos, v``, where the variant ``v`` keeps the type of every value.
 
     ``lines``     one object per line.
@@ -113,73 +108,88 @@ def read_json_records(spark: SparkSession, path: str, layout: str = "lines") ->
                   lines between two records then serve as record separator, so a file is split
                   into blocks like any text file: a raw line break cannot occur inside a JSON
                   string, and nested objects are indented deeper.
-    ``document``  files that each hold one array in any layout; a file is parsed by one task, so
-                  its size is limited.
+    ``document``  files that each hold one array in any layout; read in the same way. A file without
+                  those separator lines stays in one piece, which one task parses.
 
-    What is not valid JSON is an error.
+    Every element of an array is a record, also ``{}`` and ``null``. What is not valid JSON is an error,
+    as is an array that is cut off or that something follows. ``landed`` as in ``scan``.
     """
     if layout == "lines":
-        return _read_lines(spark, path)
-    if layout == "indented":
-        return _read_indented_arrays(spark, path)
-    if layout == "document":
-        return _read_documents(spark, path)
+        return _read_lines(spark, path, landed)
+    if layout in ("indented", "document"):
+        return _read_arrays(spark, path)
     raise ValueError(f"unknown layout {layout!r}")
 
 
-def _read_lines(spark: SparkSession, path: str) -> DataFrame:
-    reader = spark.read.option("singleVariantColumn", "v").option("mode", "FAILFAST")
-    df = reader.json(path).select(
-        _block_name().alias("_block"), F.monotonically_increasing_id().alias("_row"), "v"
+def _values(text: Column, strict: bool = True) -> Column:
+    """The JSON values in a text that holds them with commas between; not so is an error, or null.
+
+    Parsing stops after the first value, so the text is put in a list that something follows: if that
+    is not reached, the text closed the list itself.
+    """
+    parse = F.parse_json if strict else F.try_parse_json
+    whole = parse(F.concat(F.lit('{"values":['), text, F.lit('],"end":true}')))
+    values = F.try_variant_get(whole, "$.values", "array<variant>")
+    reached = F.coalesce(F.try_variant_get(whole, "$.end", "boolean"), F.lit(False))
+    if not strict:
+        return F.when(reached, values)
+    return F.when(reached, values).otherwise(
+        F.raise_error(F.lit("text after the end of a JSON value")).cast("array<variant>")
     )
-    # Raw tables landed by `collect` state their own order.
+
+
+def _read_lines(spark: SparkSession, path: str, landed: bool) -> DataFrame:
+    line = F.col("value")
+    values = _values(line)
+    alone = F.when(F.size("_values") == 1, F.get("_values", F.lit(0))).otherwise(
+        F.raise_error(F.lit("a line holds more than one JSON value")).cast("variant")
+    )
+    df = (
+        spark.read.text(path)
+        .select(_block_name().alias("_block"), F.monotonically_increasing_id().alias("_row"), "value")
+        .where(F.trim(F.translate(line, "\t\r", "  ")) != "")
+        .select("_block", "_row", values.alias("_values"))
+        .select("_block", "_row", alone.alias("v"))
+    )
+    if not landed:
+        return df.select(F.col("_block").alias(PART), F.col("_row").alias(POS), "v")
     part = F.try_variant_get("v", f"$.{PART}", "string")
     pos = F.try_variant_get("v", f"$.{POS}", "bigint")
-    landed = part.isNotNull() & pos.isNotNull()
+    both = part.isNotNull() & pos.isNotNull()
     return df.select(
-        F.when(landed, part).otherwise(F.col("_block")).alias(PART),
-        F.when(landed, pos).otherwise(F.col("_row")).alias(POS),
+        F.when(both, part).otherwise(F.col("_block")).alias(PART),
+        F.when(both, pos).otherwise(F.col("_row")).alias(POS),
         "v",
     )
 
 
-def _read_indented_arrays(spark: SparkSession, path: str) -> DataFrame:
-    value = F.col("value")
-    body = F.rtrim(value, F.lit("\n"))
-    body = F.when(
-        body.endswith(ARRAY_TAIL), F.left(body, F.length(body) - len(ARRAY_TAIL))
-    ).otherwise(body)
-    body = F.when(
-        body.startswith(ARRAY_HEAD), F.substr(body, F.lit(len(ARRAY_HEAD) + 1))
-    ).otherwise(body)
-    return (
+def _read_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """Pieces between separator lines, each parsed as an array of the elements that it holds.
+
+    The separator takes one element's closing and the next one's opening brace away, which the piece
+    gets back. A file's first piece begins with the array's bracket; a piece is its last if it is
+    whole with its final bracket taken for the array's, which a nested list's is not.
+    """
+    piece = F.btrim(F.col("value"), F.lit(" \t\r\n"))
+    first = piece.startswith("[")
+    inner = F.when(first, F.substr(piece, F.lit(2))).otherwise(F.concat(F.lit("{"), piece))
+    closed = F.when(piece.endswith("]"), _values(F.left(inner, F.length(inner) - 1), strict=False))
+    pieces = (
         spark.read.option("lineSep", ARRAY_SEPARATOR)
         .text(path)
-        .select(_block_name().alias(PART), F.monotonically_increasing_id().alias(POS), "value")
-        .where(~F.trim(F.translate(value, "\n", " ")).isin("", "[]"))
-        .select(PART, POS, F.parse_json(F.concat(F.lit("{"), body, F.lit("}"))).alias("v"))
+        .where(piece != "")
+        .select(_block_name().alias(PART), F.col("_metadata.file_path").alias("_file"), first.alias("_first"), inner.alias("_inner"), closed.alias("_closed"))
     )
-
-
-def _read_documents(spark: SparkSession, path: str) -> DataFrame:
-    too_big = (
-        spark.read.format("binaryFile").load(path)
-        .where(F.col("length") > MAX_WHOLE_DOCUMENT_BYTES)
-        .select("path")
-        .head()
+    # Brackets are counted before anything is returned: a cut-off file has pieces that are whole.
+    ends = pieces.groupBy("_file").agg(
+        F.count_if("_first").alias("begun"), F.count_if(F.col("_closed").isNotNull()).alias("ended")
     )
-    if too_big:
-        raise ValueError(f"{too_big.path} is too large for one task; land it as JSON lines")
-    return (
-        spark.read.option("multiLine", True)
-        .option("singleVariantColumn", "doc")
-        .option("mode", "FAILFAST")
-        .json(path)
-        .select(
-            F.col("_metadata.file_path").alias(PART),
-            F.posexplode(F.col("doc").cast("array<variant>")).alias(POS, "v"),
-        )
-        .withColumn(POS, F.col(POS).cast("bigint"))
+    broken = ends.where("begun <> 1 OR ended <> 1").head()
+    if broken:
+        raise ValueError(f"{broken._file} does not hold exactly one JSON array")
+    elements = F.coalesce(F.col("_closed"), _values(F.concat(F.col("_inner"), F.lit("}"))))
+    return pieces.select(PART, F.explode(elements).alias("v")).select(
+        PART, F.monotonically_increasing_id().alias(POS), "v"
     )
 
 
@@ -206,6 +216,12 @@ def land(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def delete_landed(df: DataFrame) -> None:
+    """Deletes the table that ``land`` wrote for these rows; they cannot be read any more."""
+    for folder in {path.rpartition("/")[0] for path in df.inputFiles()}:
+        delete_folder(df.sparkSession, folder)
+
+
 def with_row_index(df: DataFrame, name: str, within: tuple[str, ...] = ()) -> DataFrame:
     """Adds each row's place in stored order, counted from 0 (per ``within`` group if given).
 

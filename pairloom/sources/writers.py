@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from pairloom.session import path_exists
+from pairloom.session import delete_folder, path_exists, replace_folder
 from pairloom.sources.readers import ARRAY_HEAD, ARRAY_SEPARATOR, ARRAY_TAIL
 
 SPLITS = ("train", "val", "test")
@@ -17,13 +18,20 @@ SPLITS = ("train", "val", "test")
 def write_raw(df: DataFrame, path: str, fmt: str = "json") -> int:
     """Overwrites ``path`` and returns the number of rows, counted by the writing job itself.
 
-    JSON comes out as lines, with non-ASCII characters as they are and null fields kept.
+    The rows go to a new folder beside it, which takes its place when all are written: a write that
+    fails leaves what was there. JSON comes out as lines, with non-ASCII characters as they are and null fields kept.
     """
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+    spark, beside = df.sparkSession, f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write
     if fmt == "json":
         writer = writer.option("ignoreNullFields", False)
-    writer.format(fmt).save(path)
+    try:
+        writer.format(fmt).save(beside)
+        replace_folder(spark, beside, path.rstrip("/"))
+    except Exception:
+        delete_folder(spark, beside)
+        raise
     return seen.get["n"]
 
 
@@ -97,11 +105,12 @@ def split_file_report(
     The binary source is asked for path and length only, so no file is opened.
     """
     split = F.regexp_extract("path", r"/split=([^/]+)/", 1)
+    if path_exists(spark, folder):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    else:
+        files = spark.createDataFrame([], "path string, length long")
     sizes = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .load(folder)
-        .groupBy(split.alias("split"))
+        files.groupBy(split.alias("split"))
         .agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"))
     )
     one = spark.range(1, numPartitions=1)

@@ -18,9 +18,8 @@ def con():
     return connect(SF)
 
 
-def test_only_file_sizes_have_no_sql():
-    assert set(QUERIES) - set(SQL) == {"split_sizes_on_disk"}
-    assert set(SQL) <= set(QUERIES)
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
     assert set(QUERIES) <= set(contract.queries()) and set(SQL) <= set(contract.oracle_sql())
 
 
@@ -29,13 +28,6 @@ def test_query_equals_sql(spark, con, name):
     assert differences(QUERIES[name](spark, SF), con, SQL[name]) == []
 
 
-def test_split_sizes_on_disk(spark):
-    rows = {r.split: r for r in QUERIES["split_sizes_on_disk"](spark, SF).collect()}
-    assert set(rows) == {"train", "val", "test"}
-    assert all(r.present and r.n_files > 0 for r in rows.values())
-    assert rows["train"].size_mb > rows["val"].size_mb > 0
-
-
 def test_harness_sees_a_planted_difference(spark, con):
     df = QUERIES["type_guard"](spark, SF)
     assert differences(df, con, SQL["type_guard"].replace("text FROM", "text || '.' AS text FROM"))

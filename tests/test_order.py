@@ -201,3 +201,16 @@ def test_clean_pairs_reads_only_what_it_needs(spark, tmp_path):
     df.write.parquet(str(tmp_path / "t"))
     plan = clean_pairs(spark.read.parquet(str(tmp_path / "t")))._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<instruction:string,response:string>" in plan
+
+
+def test_copies_of_cold_keys_are_dropped(spark):
+    """More rows than buckets, so that keys with a few copies are not hot; one key is."""
+    key = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 120_000))
+    rows = spark.range(300_000, numPartitions=4).select(
+        F.lit(0).alias("src_rank"), F.lit("p").alias("part"), F.col("id").alias("pos"), key.alias("instruction")
+    )
+    found = seeded_order(rows).agg(
+        F.count("*"), F.countDistinct("instruction"), F.countDistinct("split_pos"), F.max("split_pos") + 1, F.sum("pos"), F.max("n_unique")
+    ).first()
+    n, total = rows.groupBy("instruction").agg(F.min("pos").alias("p")).agg(F.count("*"), F.sum("p")).first()
+    assert tuple(found) == (n, n, n, n, total, n)

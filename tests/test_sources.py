@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -77,12 +78,68 @@ def test_invalid_json_is_an_error(spark, tmp_path, layout):
         read_json_records(spark, str(path), layout).collect()
 
 
-def test_large_document_is_refused(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("pairloom.sources.readers.MAX_WHOLE_DOCUMENT_BYTES", 10)
-    path = tmp_path / "a.json"
-    path.write_text(json.dumps(RECORDS), encoding="utf-8")
-    with pytest.raises(ValueError, match="too large"):
-        read_json_records(spark, str(path), "document")
+@pytest.mark.parametrize("layout", ["indented", "document"])
+def test_arrays_of_anything_lose_nothing(spark, tmp_path, small_blocks, layout):
+    """Random elements, also empty and null ones, in several layouts, against ``json.load``."""
+    draw = random.Random(7)
+    for case in range(12):
+        kinds = [lambda: {}, lambda: None, lambda: {"n": 1, "l": [1, [2]]}, lambda: {"a": "x]\n  },\n  {\n", "l": []}, lambda: {"l": [{"x": "}"}]}]
+        elements = [draw.choice(kinds)() for _ in range(draw.choice([1, 2, 7, 60]))]
+        text = json.dumps(elements, indent=draw.choice([2, 2, 2, None, 4]))
+        if case % 3 == 0:
+            text = text.replace("\n", "\r\n")
+        path = tmp_path / f"{case}.json"
+        path.write_bytes((text + draw.choice(["", "\n", "\r\n "])).encode())
+        rows = read_json_records(spark, str(path), layout).select("part", "pos", F.to_json("v").alias("j")).collect()
+        got = [json.loads(r.j) if r.j else None for r in sorted(rows, key=lambda r: (r.part, r.pos))]
+        assert got == json.loads(text), case
+
+
+@pytest.mark.parametrize("keep", [0.3, 0.6, 0.99])
+def test_cut_off_arrays_and_trailing_text_are_errors(spark, tmp_path, keep):
+    text = json.dumps(RECORDS[:20], indent=2)
+    cut = text[: int(len(text) * keep)]
+    whole = text[: text.rindex("\n  },\n  {")]  # ends after a value
+    for n, wrong in enumerate([cut, whole, whole + "\n  }", text + " xxx", text + text, "{}", ""]):
+        path = tmp_path / f"{n}.json"
+        path.write_text(wrong, encoding="utf-8")
+        if wrong:
+            with pytest.raises(Exception):
+                read_json_records(spark, str(path), "indented").collect()
+
+
+def test_two_values_on_a_line_are_an_error(spark, tmp_path):
+    path = tmp_path / "a.jsonl"
+    path.write_text('{"a": 1}\n\n{"a": 2} {"a": 3}\n', encoding="utf-8")
+    with pytest.raises(Exception):
+        read_json_records(spark, str(path), "lines").collect()
+
+
+def test_own_order_columns_are_no_order(spark, tmp_path):
+    rows = [("q", "first", "z", 9), ("q", "second", "a", 1)]
+    frame = spark.createDataFrame(rows, "instruction string, response string, part string, pos long").coalesce(1)
+    frame.write.parquet(str(tmp_path / "p"))
+    with pytest.raises(ValueError, match="reserved"):
+        scan(spark, str(tmp_path / "p"))
+    frame.write.json(str(tmp_path / "j"))
+    records = text_fields(read_json_records(spark, str(tmp_path / "j")), ["instruction", "response"])
+    assert [r.response for r in clean_and_split([records]).collect()] == ["first"]
+    assert scan(spark, str(tmp_path / "p"), landed=True).where("pos = 9").count() == 1
+
+
+def test_failing_rerun_keeps_the_last_table(spark, tmp_path):
+    spark.range(10).select(F.col("id").cast("string").alias("instruction")).write.parquet(str(tmp_path / "in"))
+    good = Source("s", str(tmp_path / "in"), lambda df: df.withColumn("response", F.lit("r")))
+    broken = F.when(F.col("instruction") == "7", F.raise_error(F.lit("no"))).otherwise("r")
+    bad = Source("s", str(tmp_path / "in"), lambda df: df.withColumn("response", broken.cast("string")))
+    raw = str(tmp_path / "raw")
+    assert [r.status for r in collect(spark, [good], raw).collect()] == ["saved"]
+    assert [r.status for r in collect(spark, [bad], raw).collect()] == ["failed"]
+    assert spark.read.parquet(f"{raw}/s").count() == 10
+    assert [p.name for p in (tmp_path / "raw").iterdir()] == ["s"]
+    (tmp_path / "raw" / "empty").mkdir()
+    clean_and_split_folder(spark, raw, ["s", "empty"], str(tmp_path / "out"), fractions=(0.5, 0.2), partitions=3)
+    assert {r.split: r["count"] for r in spark.read.parquet(str(tmp_path / "out")).groupBy("split").count().collect()} == {"train": 5, "val": 2, "test": 3}
 
 
 def test_written_arrays_are_plain_json(spark, tmp_path):
