@@ -17,7 +17,9 @@ Nodes that share an index entry are candidates, but they are not paired with eac
 with one centre of its entry, in exact arithmetic on whole sets. That links large groups of near copies in
 a star. Entries whose nodes are not all in one component after that are gone through again, a block of
 centres at a time against the nodes of other components, until every pair of an entry has been compared
-or is connected. Entries are combined within a task before they are shuffled, so a frequent entry is
+or is connected. Most pairs need not be compared in full: a set's sketch is the parity of its hashes in
+each of 1,024 slots, and sets differ in at least as many shingles as their sketches do in slots. Pairs of
+which that is too many, or whose sizes are too far apart, are ruled out in the join itself. Entries are combined within a task before they are shuffled, so a frequent entry is
 one row per task.
 """
 
@@ -33,7 +35,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T, Window
 
-from pairloom.llm.common import fresh, row_hash, ship, stored
+from pairloom.llm.common import row_hash, ship, stored
 from pairloom.llm.components import components
 
 ship(__name__)
@@ -42,13 +44,17 @@ WIDTH = 4  # words in a shingle
 PERCENT = 85  # intersection at least this share of the union
 BAND = 1.2  # sizes of a band differ by less than this factor
 SEGMENTS_PER_SKIP = 48
-CENTRES = 64  # centres that an entry's nodes are compared with in a later round
+CENTRES = 1024  # centres that an entry's nodes are compared with in a later round
 SAMPLE_DOCS = 2000
 FREQUENT_SHINGLES = 100_000
 FLUSH = 1_500_000  # index entries that a task combines at a time
+SKETCH = 16  # 64-bit words of a set's sketch
 BITS = 1 << 23  # slots of the bitmap that tells which texts have candidates
 
 
+SKETCH_WORDS = [f"k{k}" for k in range(SKETCH)]
+
+
 def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "replace").lower().split()
 
@@ -68,7 +74,7 @@ def shingle_sets(texts: list[str | None], width: int = WIDTH) -> list[np.ndarray
     joined = np.full(len(hashed), 0x9E3779B97F4A7C15, np.uint64)
     for k in range(width):
         part = np.zeros_like(hashed)
-        part[: len(hashed) - k] = hashed[k:]
+        part[: max(0, len(hashed) - k)] = hashed[k:]
         joined = _mix(joined * np.uint64(0xD6E8FEB86659FD93) + part)
     found, start = [], 0
     for size in sizes:
@@ -186,8 +192,25 @@ def index_entries(hashes: np.ndarray, bands: Bands, frequent: np.ndarray) -> np.
     return np.concatenate(entries)
 
 
+def sketch_of(hashes: np.ndarray) -> np.ndarray:
+    """Parity of the number of hashes in each slot, as 64-bit words."""
+    slot = (_mix(hashes + np.uint64(0xE7037ED1A0B428DB)) % np.uint64(64 * SKETCH)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=64 * SKETCH) & 1).astype(np.uint8)).view(np.int64)
+
+
+def may_link(percent: int, x: str, y: str):
+    """Whether two nodes' sizes and sketches allow a link; columns have the given prefixes."""
+    n, m = F.col(f"{x}n"), F.col(f"{y}n")
+    apart = None
+    for k in range(SKETCH):
+        bits = F.bit_count(F.col(f"{x}k{k}").bitwiseXOR(F.col(f"{y}k{k}")))
+        apart = bits if apart is None else apart + bits
+    sizes = F.least(n, m) * 100 >= F.greatest(n, m) * percent
+    return sizes & (apart * (100 + percent) <= (n + m) * (100 - percent))
+
+
 def describe(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``doc_id, n_shingles, node``: the node is the digest of the set, null for an empty one."""
+    """``doc_id, n_shingles, node`` and the sketch: the node is the set's digest, null for an empty one."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -196,11 +219,12 @@ def describe(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
                 sets = shingle_sets(batch.column(1).to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([node_of(s) if len(s) else None for s in sets], pa.binary())],
-                    names=["doc_id", "n_shingles", "node"],
+                     pa.array([node_of(s) if len(s) else None for s in sets], pa.binary()),
+                     *map(pa.array, np.array([sketch_of(s) for s in sets]).T)],
+                    names=["doc_id", "n_shingles", "node", *SKETCH_WORDS],
                 )
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType())])
+    schema = T.StructType([T.StructField("doc_id", docs.schema[doc_id].dataType), T.StructField("n_shingles", T.LongType()), T.StructField("node", T.BinaryType()), *[T.StructField(k, T.LongType()) for k in SKETCH_WORDS]])
     return docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(run, schema)
 
 
@@ -373,22 +397,27 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     nodes = (
         described.where("node IS NOT NULL")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("doc_id"))
-        .select("node", "doc_id", _first_eight(F.col("node")).alias("short"))
+        .agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("n"), *[F.min(k).alias(k) for k in SKETCH_WORDS])
+        .withColumn("short", _first_eight(F.col("node")))
     )
     nodes = stored(nodes, "nodes")
     if nodes.groupBy("short").count().where("count > 1").head():
         raise RuntimeError("two different sets have digests with the same first eight bytes")
     entries = stored(entries_shared(docs, text, percent), "entries")
-    pairs = stored(entries.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct(), "pairs")
+    known = nodes.select("short", "n", *SKETCH_WORDS)
+    called = lambda prefix: known.select(*[F.col(c).alias(prefix + c) for c in known.columns])
+    pairs = entries.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    pairs = pairs.join(called("x_"), F.col("a") == F.col("x_short")).join(
+        called("y_"), (F.col("b") == F.col("y_short")) & may_link(percent, "x_", "y_")
+    )
+    pairs = stored(pairs.select("a", "b"), "pairs")
     touched = pairs.select(F.col("a").alias("short")).union(pairs.select(F.col("b").alias("short"))).distinct()
-    wanted = stored(nodes.join(touched, "short").select(F.col("short").alias("node"), "doc_id"), "wanted")
-    sets = stored(sets_of(docs, doc_id, text, wanted), "sets")
+    sets = _sets_for(docs, doc_id, text, nodes, touched)
     links = stored(links_among(pairs, sets, percent), "verified")
     found = stored(components(links), "components")
 
     members = entries.select("entry", "node").union(entries.select("entry", F.col("centre").alias("node"))).distinct()
-    done, turn, seen = pairs, 0, None
+    done, turn = pairs, 0
     while True:
         of = members.join(found, "node", "left").select("entry", "node", F.coalesce("component", "node").alias("component"))
         open_ = of.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y")
@@ -399,11 +428,16 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
             break
         rank = F.row_number().over(Window.partitionBy("entry").orderBy("node"))
         centres = active.withColumn("rank", rank).where(F.col("rank") <= (turn + 1) * CENTRES).where(F.col("rank") > turn * CENTRES)
-        centres = centres.select("entry", F.col("node").alias("b"), F.col("component").alias("other"))
-        met = active.join(centres, "entry").where((F.col("component") != F.col("other")))
-        new = met.select(F.greatest("node", "b").alias("a"), F.least("node", "b").alias("b")).distinct()
+        centres = centres.join(called("y_"), F.col("node") == F.col("y_short"))
+        centres = centres.select("entry", "component", *[f"y_{c}" for c in known.columns])
+        nearby = active.join(called("x_"), F.col("node") == F.col("x_short")).alias("m").join(
+            centres.alias("c"),
+            (F.col("m.entry") == F.col("c.entry")) & (F.col("m.component") != F.col("c.component")) & may_link(percent, "x_", "y_"),
+        )
+        new = nearby.select(F.greatest("x_short", "y_short").alias("a"), F.least("x_short", "y_short").alias("b")).distinct()
         new = stored(new.join(done, ["a", "b"], "left_anti"), "pairs")
-        more = stored(links_among(new, sets, percent), "verified")
+        touched = new.select(F.col("a").alias("short")).union(new.select(F.col("b").alias("short"))).distinct()
+        more = stored(links_among(new, _sets_for(docs, doc_id, text, nodes, touched), percent), "verified") if new.head() else new
         done, links = done.unionByName(new), links.unionByName(more)
         if more.head():
             found = stored(components(links), "components")
@@ -418,6 +452,12 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     )
 
 
+def _sets_for(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, touched: DataFrame) -> DataFrame:
+    """The stored sets of the nodes that are compared."""
+    wanted = stored(nodes.join(touched, "short").select(F.col("short").alias("node"), "doc_id"), "wanted")
+    return stored(sets_of(docs, doc_id, text, wanted), "sets")
+
+
 def _first_eight(node):
     """The first eight bytes as a signed little-endian number, as tasks read them."""
     value = F.lit(0).cast("long")

@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from pairloom.llm.common import fresh, ranked, ship, stored
+from pairloom.llm.common import ranked, ship, stored
 from pairloom.llm.quality import words_of
 
 ship(__name__)

@@ -100,7 +100,7 @@ def _strings(classes: DataFrame, longest: DataFrame) -> DataFrame:
     return classes.select("class", "asks", "packed").mapInArrow(run, "class long, asks boolean, tree int, string binary, itself int")
 
 
-def _visits(strings: DataFrame, sizes: dict[int, int], wanted) -> DataFrame:
+def _visits(strings: DataFrame, wanted) -> DataFrame:
     """``class, tree, depth, prefix``: the prefixes that each query looks under."""
     deep = F.explode(F.sequence(F.lit(1), F.lit(SYMBOLS))).alias("depth")
     leveled = strings.select("class", "size", "asks", "tree", "itself", deep, "string").withColumn("prefix", F.expr("substring(string, 1, depth)"))
@@ -159,7 +159,7 @@ def nearest(vectors: DataFrame, is_query, vec_id: str = "vec_id", vector: str =
     for size, n in n_of.items():
         enough = CANDIDATES * n**GROWTH
         wanted = F.when(F.col("size") == size, F.lit(enough if enough < n else math.inf)).otherwise(wanted)
-    visits = stored(_visits(strings, n_of, wanted), "visits")
+    visits = stored(_visits(strings, wanted), "visits")
     # Queries for which no level has enough are compared with all; the root is one prefix of one tree.
     to_root = classes.where("asks").join(visits.where(F.col("depth") > 0).groupBy("class").agg(F.sum("others").alias("hits")), "class", "left")
     short = F.coalesce("hits", F.lit(0)) < wanted
