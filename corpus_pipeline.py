@@ -33,7 +33,8 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each component the document with the smallest id.
 
-    A document without an id stays if it links with nothing; rows that share the smallest id stay once.
+    Rows that share the smallest id stay once. Documents without an id cannot be told apart by it: they
+    all stay if one of them links with no document that has an id, and none otherwise.
     """
     groups = jaccard.near_copies(docs)
     smallest = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()

@@ -15,8 +15,9 @@ Nodes are compared by the pigeonhole principle over a partition of the universe
 
 Nodes that share an index entry are candidates, but they are not paired with each other: each is compared
 with one centre of its entry, in exact arithmetic on whole sets. That links large groups of near copies in
-a star. Entries whose nodes are not all in one component after that are gone through again, a block of
-centres at a time against the nodes of other components, until every pair of an entry has been compared
+a star. Entries whose nodes are not all in one component after that are gone through again: first with
+one centre of each component, as long as that joins components, then with all nodes as centres, a block
+at a time, always against the nodes of other components, until every pair of an entry has been compared
 or is connected. Most pairs need not be compared in full: a set's sketch is the parity of its hashes in
 each of 1,024 slots, and sets differ in at least as many shingles as their sketches do in slots. Pairs of
 which that is too many, or whose sizes are too far apart, are ruled out in the join itself. Entries are combined within a task before they are shuffled, so a frequent entry is
@@ -417,7 +418,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     found = stored(components(links), "components")
 
     members = entries.select("entry", "node").union(entries.select("entry", F.col("centre").alias("node"))).distinct()
-    done, turn = pairs, 0
+    done, turn, merging = pairs, 0, True
     while True:
         of = members.join(found, "node", "left").select("entry", "node", F.coalesce("component", "node").alias("component"))
         open_ = of.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y")
@@ -426,8 +427,11 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
         active = stored(of.join(open_, "entry"), "open-entries")
         if not active.head():
             break
+        # First one centre per component, as long as that joins components; then all nodes, in blocks.
+        pool = active.groupBy("entry", "component").agg(F.min("node").alias("node")) if merging else active
+        block = 0 if merging else turn
         rank = F.row_number().over(Window.partitionBy("entry").orderBy("node"))
-        centres = active.withColumn("rank", rank).where(F.col("rank") <= (turn + 1) * CENTRES).where(F.col("rank") > turn * CENTRES)
+        centres = pool.withColumn("rank", rank).where(F.col("rank") <= (block + 1) * CENTRES).where(F.col("rank") > block * CENTRES)
         centres = centres.join(called("y_"), F.col("node") == F.col("y_short"))
         centres = centres.select("entry", "component", *[f"y_{c}" for c in known.columns])
         nearby = active.join(called("x_"), F.col("node") == F.col("x_short")).alias("m").join(
@@ -439,9 +443,12 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
         touched = new.select(F.col("a").alias("short")).union(new.select(F.col("b").alias("short"))).distinct()
         more = stored(links_among(new, _sets_for(docs, doc_id, text, nodes, touched), percent), "verified") if new.head() else new
         done, links = done.unionByName(new), links.unionByName(more)
-        if more.head():
+        joined = more.head() is not None
+        if joined:
             found = stored(components(links), "components")
-        turn += 1
+        if not merging:
+            turn += 1
+        merging = merging and joined
     grouped = nodes.join(found.withColumnRenamed("node", "short"), "short", "left").select(
         "node", "doc_id", F.coalesce("component", "short").alias("component")
     )

@@ -12,7 +12,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairloom.llm import langid, lm, toxicity
-from pairloom.llm.bpe import MergeAutomaton
 from pairloom.llm.queries import QUERIES, table
 
 SF = "/root/testdata/sf0.01"
@@ -156,7 +155,7 @@ def test_lm_query(spark):
 
 def test_lm_of_awkward_rows(spark, awkward, monkeypatch):
     docs = awkward.withColumn("learn", F.lit(True)).withColumnRenamed("toxicity", "n_tokens")
-    path = public_tokenizers.path("byte_bpe_50k.json")
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     monkeypatch.setattr(lm, "FREQUENT", 2)  # nearly every word goes through the join
     model, counts = lm.fit(docs, path, "text", "learn")
     out = lm.score(docs, model, counts)
