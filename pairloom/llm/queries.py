@@ -82,7 +82,7 @@ def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 def op7_lm(spark: SparkSession, sf: str) -> DataFrame:
     learn = ~held_out("doc_id", 5, 1)
     docs = table(spark, sf, "documents").select("doc_id", "text").withColumn("learn", learn)
-    model, counts = lm.fit(docs, public_tokenizers.path("byte_bpe_50k.json"), "text", "learn")
+    model, counts = lm.fit(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), "text", "learn")
     scored = lm.score(docs, model, counts)
     return scored.select(
         "doc_id",
