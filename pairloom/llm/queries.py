@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe, jaccard, langid, lm, mixing, neighbours, quality, toxicity, urlfilter
+from pairloom.llm import bpe, jaccard, langid, licenses, lm, mixing, neighbours, quality, toxicity, urlfilter
 from pairloom.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -112,3 +112,8 @@ def pipeline(spark: SparkSession, sf: str) -> DataFrame:
 
 if corpus_pipeline.ORACLE_SQL:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
+@query
+def op4_licenses(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
