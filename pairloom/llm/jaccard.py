@@ -210,14 +210,14 @@ def may_link(percent: int, x: str, y: str):
     return sizes & (apart * (100 + percent) <= (n + m) * (100 - percent))
 
 
-def describe(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+def describe(docs: DataFrame, doc_id: str, text: str, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_shingles, node`` and the sketch: the node is the set's digest, null for an empty one."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
                 batch = whole.slice(start, 256)
-                sets = shingle_sets(batch.column(1).to_pylist())
+                sets = shingle_sets(batch.column(1).to_pylist(), width)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([node_of(s) if len(s) else None for s in sets], pa.binary()),
@@ -229,13 +229,13 @@ def describe(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(run, schema)
 
 
-def frequent_shingles(docs: DataFrame, text: str) -> np.ndarray:
+def frequent_shingles(docs: DataFrame, text: str, width: int = WIDTH) -> np.ndarray:
     """Shingles in at least one in a hundred of a bounded sample; they only steer what is skipped."""
     drawn = docs.select(text).where(F.pmod(row_hash(text), F.lit(64)) < 8).limit(SAMPLE_DOCS)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = shingle_sets(batch.column(0).to_pylist())
+            sets = shingle_sets(batch.column(0).to_pylist(), width)
             values, counts = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts, pa.int64())], names=["h", "n"])
 
@@ -244,7 +244,7 @@ def frequent_shingles(docs: DataFrame, text: str) -> np.ndarray:
     return np.sort(np.array([r.h for r in often.collect()], np.int64).view(np.uint64))
 
 
-def entries_shared(docs: DataFrame, text: str, percent: int) -> DataFrame:
+def entries_shared(docs: DataFrame, text: str, percent: int, width: int = WIDTH) -> DataFrame:
     """``entry, node, centre`` of all nodes that share an index entry with a smaller one.
 
     Nodes are told by the first eight bytes of their digest. Within a task and again after the shuffle,
@@ -252,7 +252,7 @@ def entries_shared(docs: DataFrame, text: str, percent: int) -> DataFrame:
     """
     spark = docs.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = spark.sparkContext.broadcast(frequent_shingles(docs, text))
+    shared = spark.sparkContext.broadcast(frequent_shingles(docs, text, width))
     bands = Bands.of(percent)
     pair = np.dtype([("entry", "<u8"), ("node", "<i8")])
 
@@ -293,7 +293,7 @@ def entries_shared(docs: DataFrame, text: str, percent: int) -> DataFrame:
 
         for whole in batches:
             for start in range(0, whole.num_rows, 256):
-                for s in shingle_sets(whole.column(0).slice(start, 256).to_pylist()):
+                for s in shingle_sets(whole.column(0).slice(start, 256).to_pylist(), width):
                     found = index_entries(s, bands, frequent)
                     if len(found):
                         entries.append(found)
@@ -327,7 +327,7 @@ def entries_shared(docs: DataFrame, text: str, percent: int) -> DataFrame:
     return made.repartition(parts // 4, "part").mapInArrow(meet, "entry long, node long, centre long")
 
 
-def sets_of(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, width: int = WIDTH) -> DataFrame:
     """``node, hashes`` for the ``wanted`` nodes (with the id of one of their documents).
 
     The texts of other documents are passed over by a bitmap of fixed size before they are read; what
@@ -351,7 +351,7 @@ def sets_of(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame) -> DataF
             chosen = np.flatnonzero(known | (at < 0))
             for start in range(0, len(chosen), 256):
                 texts = whole.column(1).take(pa.array(chosen[start : start + 256])).to_pylist()
-                sets = [s for s in shingle_sets(texts) if len(s)]
+                sets = [s for s in shingle_sets(texts, width) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([int.from_bytes(node_of(s)[:8], "little", signed=True) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
                     names=["node", "hashes"],
@@ -385,8 +385,8 @@ def links_among(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(run, "a long, b long")
 
 
-def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every document.
+def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT, width: int = WIDTH) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document, by shingles of ``width`` words.
 
     Two documents link when 100 times their intersection is at least ``percent`` times their union;
     the component's id is the smallest document id that links lead to, the own included. A null or
@@ -394,7 +394,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     repeated ids link like any other documents; a null id never is the smallest, and a document with
     a null id that links with nothing has a null component.
     """
-    described = stored(describe(docs, doc_id, text), "described")
+    described = stored(describe(docs, doc_id, text, width), "described")
     nodes = (
         described.where("node IS NOT NULL")
         .groupBy("node")
@@ -404,7 +404,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     nodes = stored(nodes, "nodes")
     if nodes.groupBy("short").count().where("count > 1").head():
         raise RuntimeError("two different sets have digests with the same first eight bytes")
-    entries = stored(entries_shared(docs, text, percent), "entries")
+    entries = stored(entries_shared(docs, text, percent, width), "entries")
     known = nodes.select("short", "n", *SKETCH_WORDS)
     called = lambda prefix: known.select(*[F.col(c).alias(prefix + c) for c in known.columns])
     pairs = entries.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
@@ -413,7 +413,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     )
     pairs = stored(pairs.select("a", "b"), "pairs")
     touched = pairs.select(F.col("a").alias("short")).union(pairs.select(F.col("b").alias("short"))).distinct()
-    sets = _sets_for(docs, doc_id, text, nodes, touched)
+    sets = _sets_for(docs, doc_id, text, nodes, touched, width)
     links = stored(links_among(pairs, sets, percent), "verified")
     found = stored(components(links), "components")
 
@@ -441,7 +441,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
         new = nearby.select(F.greatest("x_short", "y_short").alias("a"), F.least("x_short", "y_short").alias("b")).distinct()
         new = stored(new.join(done, ["a", "b"], "left_anti"), "pairs")
         touched = new.select(F.col("a").alias("short")).union(new.select(F.col("b").alias("short"))).distinct()
-        more = stored(links_among(new, _sets_for(docs, doc_id, text, nodes, touched), percent), "verified") if new.head() else new
+        more = stored(links_among(new, _sets_for(docs, doc_id, text, nodes, touched, width), percent), "verified") if new.head() else new
         done, links = done.unionByName(new), links.unionByName(more)
         joined = more.head() is not None
         if joined:
@@ -459,10 +459,10 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     )
 
 
-def _sets_for(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, touched: DataFrame) -> DataFrame:
+def _sets_for(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, touched: DataFrame, width: int) -> DataFrame:
     """The stored sets of the nodes that are compared."""
     wanted = stored(nodes.join(touched, "short").select(F.col("short").alias("node"), "doc_id"), "wanted")
-    return stored(sets_of(docs, doc_id, text, wanted), "sets")
+    return stored(sets_of(docs, doc_id, text, wanted, width), "sets")
 
 
 def _first_eight(node):
