@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairloom.llm import bpe, jaccard, langid, mixing, toxicity
-from pairloom.llm.common import stored
+from pairloom.llm.common import fresh, row_hash, stored
 
 LEAST_LANGUAGE_SCORE = 0.4
 # The stage has no contract of its own for near copies; op6's 4 words and 85 percent bind only op6.
@@ -38,20 +38,21 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Documents link from 80 percent of their 5-word shingles.
 
-    Rows that share the smallest id stay once. Documents without an id cannot be told apart by it: they
-    all stay if one of them links with no document that has an id, and none otherwise.
+    Rows are told apart by a stored key, so one row stays of each component, whatever ids are null or
+    repeated: the smallest id first, null last, then by content. What links with nothing stays.
     """
-    groups = jaccard.near_copies(docs, percent=SIMILAR_PERCENT, width=SHINGLE_WORDS)
-    smallest = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(smallest.withColumnRenamed("doc_id", "_kept"), F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
-    return kept.select(*docs.columns).where("doc_id IS NULL").unionByName(
-        kept.select(*docs.columns).where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
-    )
+    (key,) = fresh(docs, "_key")
+    rows = stored(docs.withColumn(key, F.monotonically_increasing_id()), "rows")
+    groups = jaccard.near_copies(rows, key, percent=SIMILAR_PERCENT, width=SHINGLE_WORDS)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), F.col("doc_id").alias("id"), row_hash(*docs.columns).alias("content"), F.col(key).alias("key"))
+    placed = rows.select(key, order.alias("_order")).join(groups.select(F.col("doc_id").alias(key), "component_id"), key)
+    first = placed.groupBy("component_id").agg(F.min("_order").alias("_order")).select(F.col("_order.key").alias(key))
+    return rows.join(first, key, "left_semi").select(*docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    return mixing.apply_mix(docs, mixing.mix(docs))
+    return mixing.apply_mix(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

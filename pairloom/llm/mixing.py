@@ -16,7 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from pairloom.llm.common import ranked, ship, stored
+from pairloom.llm.common import ranked, row_hash, ship, stored
 from pairloom.llm.quality import words_of
 
 ship(__name__)
@@ -80,22 +80,27 @@ def mix(
     source: str = "source",
     weights: Sequence[int] = WEIGHTS,
     most: int = MOST,
+    carry: bool = False,
 ) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies`` of every document.
+    """``doc_id, source, size, source_size, target, copies`` of every document, and with ``carry`` its ``row``.
 
     Size is in words; a null text has none. A null source is a source of its own. Repeated rows are
     documents of their own. An empty table gives an empty result, and a source without words no
     copies. The order in which documents get a further copy depends on ids and sizes only, so reruns
-    agree; ids that repeat are ordered by size.
+    agree; ids that repeat are ordered by size. With ``carry`` the whole row is a struct that goes along,
+    rows without an id are ordered by their content, and content decides between equal ids and sizes.
     """
-    order = F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit("|"), F.size("_words").cast("string")))
+    whole_row = [F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if carry else []
+    unnamed = F.hex(row_hash(*docs.columns)) if carry else F.lit("")
+    order = F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), unnamed), F.lit("|"), F.size("_words").cast("string")))
     sized = (
-        docs.select(doc_id, source, words_of(F.coalesce(text, F.lit(""))).alias("_words"))
+        docs.withColumn("_words", words_of(F.coalesce(text, F.lit(""))))
         .select(
             F.col(doc_id).alias("doc_id"),
             F.col(source).alias("source"),
             F.size("_words").cast("long").alias("size"),
             order.alias("_order"),
+            *whole_row,
         )
         .withColumn("_bucket", F.conv(F.left("_order", F.lit(BUCKET_DIGITS)), 16, 10).cast("int"))
     )
@@ -136,7 +141,7 @@ def mix(
     )
     joined = sized.join(stored(plan, "plan"), F.col("source").eqNullSafe(F.col("_of")))
     at_edge = F.col("_bucket") == F.col("_edge")
-    earlier = Window.partitionBy("source", "_bucket").orderBy("_order", "size").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("source", "_bucket").orderBy("_order", "size", *([F.xxhash64("row")] if carry else [])).rowsBetween(Window.unboundedPreceding, -1)
     edge = joined.where(at_edge).withColumn(
         "_more",
         (F.col("_before") + F.coalesce(F.sum("size").over(earlier), F.lit(0)) + F.col("size") / 2 < F.col("_need")).cast("long"),
@@ -144,7 +149,7 @@ def mix(
     rest = joined.where(~at_edge).withColumn("_more", (F.col("_bucket") < F.col("_edge")).cast("long"))
     return rest.unionByName(edge).select(
         "doc_id", "source", "size", "source_size", "target",
-        (F.col("_whole") + F.col("_more")).cast("long").alias("copies"),
+        (F.col("_whole") + F.col("_more")).cast("long").alias("copies"), *(["row"] if carry else []),
     )
 
 
@@ -155,14 +160,10 @@ def report(docs: DataFrame) -> DataFrame:
     )
 
 
-def apply_mix(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """Each document as often as the mix takes it.
-
-    Documents and mix are joined on the id, null ids counting as equal, so ids must not repeat.
-    """
-    copies = mixed.select(F.col("doc_id").alias("_id"), F.col("copies").alias("_copies")).where("_copies > 0")
-    repeated = docs.join(copies, F.col(doc_id).eqNullSafe(F.col("_id")))
-    return repeated.select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("_copies"))).alias("_copy")).drop("_copy")
+def apply_mix(docs: DataFrame) -> DataFrame:
+    """Each row as often as the mix takes it. Rows go through the mix whole, so ids may be null or repeat."""
+    copies = F.explode(F.sequence(F.lit(1), F.col("copies")))
+    return mix(docs, carry=True).where("copies > 0").select("row", copies).select("row.*")
 
 
 # The same results in DuckDB: the level from sorted limits, and rates as quotients.

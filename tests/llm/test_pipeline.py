@@ -67,3 +67,22 @@ def test_index_never_loses_a_link_at_80_percent():
             frequent = np.sort(draw.permutation(union)[: draw.integers(0, len(union) + 1)])
             shared = np.intersect1d(jaccard.index_entries(a, bands, frequent), jaccard.index_entries(b, bands, frequent))
             assert len(shared) or np.array_equal(a, b)
+
+
+def test_null_and_repeated_ids(spark):
+    texts = near_texts()[6:24]
+    ids = [None, 7, None, 3] * len(texts)
+    rows = [(ids[k], t, "en", "ab"[k % 2], len(t)) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    best = {}
+    for row, g in zip(rows, groups(texts)):
+        best[g] = min(best.get(g, (True, 0)), (row[0] is None, row[0] or 0))
+    kept = corpus_pipeline.near_copies(spark, docs, "").collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == sorted(best.values())
+    assert len({r.text for r in kept}) == len(best)
+
+
+def test_mixing_takes_rows_without_ids_one_by_one(spark):
+    rows = [(None if k % 3 else 5, f"w{k} " * 10, "en", "s", 1) for k in range(60)]
+    taken = corpus_pipeline.mixed(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert sorted(r.text for r in taken) == sorted(t for _, t, *_ in rows)  # a single source is taken once
