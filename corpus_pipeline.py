@@ -19,8 +19,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts without a letter, and those of which no language has a share to speak of."""
-    known = langid.identify(docs, langid.fit(docs.select("doc_id", "text", "lang")))
+    """Drops texts without a letter, and those of which no language has a share to speak of.
+
+    If no document has a language, nothing can be learned, and all texts that hold a letter stay.
+    """
+    net = langid.fit(docs.select("doc_id", "text", "lang"))
+    if not net.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    known = langid.identify(docs, net)
     name, score = known.columns[-2:]
     kept = (F.col(name) != langid.UNDETERMINED) & (F.col(score) >= LEAST_LANGUAGE_SCORE)
     return known.where(kept).select(*docs.columns)

@@ -86,3 +86,9 @@ def test_mixing_takes_rows_without_ids_one_by_one(spark):
     rows = [(None if k % 3 else 5, f"w{k} " * 10, "en", "s", 1) for k in range(60)]
     taken = corpus_pipeline.mixed(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
     assert sorted(r.text for r in taken) == sorted(t for _, t, *_ in rows)  # a single source is taken once
+
+
+def test_language_stage_without_any_language(spark):
+    texts = ["a clean text", "12 34 !", "", None, "\u00e9t\u00e9"]
+    docs = spark.createDataFrame([(k, t, None, "s", 1) for k, t in enumerate(texts)], SCHEMA)
+    assert sorted(r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()) == [0, 4]
