@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe, jaccard, langid, licenses, lm, mixing, neighbours, quality, toxicity, urlfilter
+from pairloom.llm import bpe, jaccard, langid, licenses, lines, lm, mixing, neighbours, quality, toxicity, urlfilter
 from pairloom.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,3 +117,13 @@ if corpus_pipeline.ORACLE_SQL:
 @query
 def op4_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
+
+
+@query
+def op13_lines(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    dropped = lines.drop_repeated(docs, lines.index_lines(docs))
+    return dropped.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE["op13_lines"] = lines.ORACLE_SQL

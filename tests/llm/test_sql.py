@@ -18,4 +18,4 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     assert set(QUERIES) <= set(contract.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)} | {"pipeline"}
