@@ -24,6 +24,7 @@ from pairloom.operators import (
     project,
     resolve_aliases,
     resolve_pair,
+    resolve_records,
     seeded_order,
     tag,
     union_ordered,
@@ -47,6 +48,7 @@ from pairloom.sources import (
     split_file_report,
     text_fields,
     write_json_arrays,
+    write_json_texts,
     write_raw,
     write_splits,
 )
@@ -83,6 +85,16 @@ def scan_json_array(spark: SparkSession, sf: str) -> DataFrame:
     return fields.withColumnRenamed("n_chars", "number_as_text")
 
 
+@query
+def scan_one_line_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrays without a line break, in blocks much smaller than a file."""
+    folder = new_folder(spark, "arrays")
+    write_json_arrays(views.table(spark, sf, "documents").drop("part", "pos"), folder, indented=False)
+    records = read_json_records(spark, folder, "document")
+    doc_id = F.try_variant_get("v", "$.doc_id", "bigint").alias("doc_id")
+    return text_fields(records.select(doc_id, "v"), ["text", "source"])
+
+
 @query
 def scan_json_lines(spark: SparkSession, sf: str) -> DataFrame:
     folder = new_folder(spark, "lines")
@@ -224,6 +236,48 @@ def positional_fallback_number(spark: SparkSession, sf: str) -> DataFrame:
     return resolve_pair(views.d_raw(spark, sf)).drop("part")
 
 
+def _mixed_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as JSON texts whose keys differ from record to record, in presence and in order."""
+    text, source, lang = (F.substr(F.to_json(F.struct(F.col(c).alias("x"))), F.lit(6)) for c in ("text", "source", "lang"))
+    # Each ends in the brace of its object, which the last field of a record needs.
+    field = lambda name, col: F.concat(F.lit(f'"{name}" : '), F.substr(col, F.lit(1), F.length(col) - 1))
+    raw = lambda *parts: F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))
+    shapes = [
+        raw(F.lit('"n": {"question": 1}'), field("answer", source), field("question", text), field("instruction", lang)),
+        raw(field("response", lang), field("instruction", text)),
+        raw(field("title", lang), field("body", text), field("answer", source)),
+        raw(field("body", text), F.lit('"question": null'), field("instruction", lang), field("answer", source)),
+        raw(F.lit('"answer": ""'), field("question", text)),
+        raw(field("question", text), F.lit('"answer": [0]'), F.lit('"x": "}],"')),
+        raw(field("a\\u0022}]b", text), F.lit('"question": 0'), F.lit('"answer": "0"')),
+        raw(field("only", text)),
+    ]
+    chosen = F.coalesce(*[F.when(F.col("doc_id") % len(shapes) == k, shape) for k, shape in enumerate(shapes)])
+    return views.table(spark, sf, "documents").select(chosen.alias("record"))
+
+
+@query
+def resolve_json_lines(spark: SparkSession, sf: str) -> DataFrame:
+    folder = new_folder(spark, "lines")
+    _mixed_records(spark, sf).write.text(folder)
+    return resolve_records(read_json_records(spark, folder, "lines", raw=True)).drop("part", "pos")
+
+
+@query
+def resolve_json_arrays(spark: SparkSession, sf: str) -> DataFrame:
+    """Collected from one-line arrays, next to a source that is no JSON."""
+    folder, raw = new_folder(spark, "arrays"), new_folder(spark, "raw")
+    write_json_texts(_mixed_records(spark, sf), folder)
+    write_json_texts(_mixed_records(spark, sf).select(F.concat(F.lit("{"), "record")), f"{folder}-broken")
+    sources = [
+        Source(name, path, lambda df: tag(resolve_records(df), "domain", DOMAIN), layout="document")
+        for name, path in (("broken", f"{folder}-broken"), ("arrays", folder))
+    ]
+    status = collect(spark, sources, raw)
+    rows = spark.read.parquet(f"{raw}/arrays").drop("part", "pos").withColumn("source", F.lit("arrays"))
+    return rows.join(status, "source", "left")
+
+
 @query
 def constant_tag(spark: SparkSession, sf: str) -> DataFrame:
     return tag(resolve_pair(views.b_raw(spark, sf)), "domain", DOMAIN).drop("part")

@@ -115,7 +115,10 @@ def has_visible_text(col: Column | str) -> Column:
 
 
 def falsy(col: Column | str, dtype: T.DataType) -> Column:
-    """Python's ``not value``: null, ``''``, zero, false and empty collections."""
+    """Python's ``not value``: null, ``''``, zero, false and empty collections.
+
+    Of a variant each value has its own type: the text ``"0"`` is not falsy, the number is.
+    """
     col = F.col(col) if isinstance(col, str) else col
     if isinstance(dtype, T.BooleanType):
         empty = ~col
@@ -125,6 +128,12 @@ def falsy(col: Column | str, dtype: T.DataType) -> Column:
         empty = F.length(col) == 0
     elif isinstance(dtype, (T.ArrayType, T.MapType)):
         empty = F.size(col) == 0
+    elif isinstance(dtype, T.VariantType):
+        shown = F.try_variant_get(col, "$", "string")
+        looks = shown.isin("false", "[]", "{}") | (shown.try_cast("double") == 0)
+        # Only what looks falsy is asked for its type, which for a large value takes a walk through it.
+        empty = F.when(shown == "", True).when(looks, F.schema_of_variant(col) != "STRING")
+        empty = F.is_variant_null(col) | F.coalesce(empty, F.lit(False))
     else:
         empty = F.lit(False)
     return col.isNull() | F.coalesce(empty, F.lit(False))

@@ -3,7 +3,7 @@
 from pairloom.operators.counts import count_by_split, count_raw_by_source, pair_counts
 from pairloom.operators.order import ORDER, cap_per_split, assign_split, first_row, seeded_order
 from pairloom.operators.pairs import clean_pairs, dedup_keep_first, project, tag, union_ordered
-from pairloom.operators.resolve import positional_fallback, resolve_aliases, resolve_pair
+from pairloom.operators.resolve import positional_fallback, resolve_aliases, resolve_pair, resolve_records
 from pairloom.operators.train_text import (
     WITHIN,
     export_text,
@@ -30,6 +30,7 @@ __all__ = [
     "project",
     "resolve_aliases",
     "resolve_pair",
+    "resolve_records",
     "seeded_order",
     "tag",
     "union_ordered",

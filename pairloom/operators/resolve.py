@@ -77,3 +77,47 @@ def resolve_pair(
     return positional_fallback(
         df, _text(*question), _text(*answer), falsy(*question) | falsy(*answer)
     )
+
+
+def resolve_records(
+    records: DataFrame,
+    question_names: Sequence[str] = QUESTION_NAMES,
+    answer_names: Sequence[str] = ANSWER_NAMES,
+) -> DataFrame:
+    """``resolve_pair`` for JSON records (``read_json_records`` with ``raw``), decided for each by itself.
+
+    No schema is inferred: a key counts as present if the record has it, also with null, and the fallback
+    takes the record's own first two keys, in the order of its text. A second or first key that is not
+    there gives ``''``. Null stays null, what is no string becomes empty. A record that is no object is
+    an error, and so is one with a key twice, unless ``spark.sql.variant.allowDuplicateKeys`` lets the
+    last value count.
+    """
+    keys = F.coalesce(
+        F.array_distinct(F.json_object_keys("raw")),
+        F.raise_error(F.concat(F.lit("a record is no object: "), F.substring(F.coalesce("raw", F.lit("")), 1, 40))).cast("array<string>"),
+    )
+    parsed = records.select(*_kept(records), keys.alias("_keys"), F.try_variant_get("v", "$", "map<string,variant>").alias("_values"))
+    nothing = F.parse_json(F.lit('""'))
+
+    def value(key: Column) -> Column:
+        return F.when(F.array_contains("_keys", key), F.element_at("_values", key))
+
+    def at(place: int) -> Column:
+        # A place beyond the record's keys gives null, which no record contains.
+        return F.coalesce(value(F.get("_keys", F.lit(place))), nothing)
+
+    named = parsed.select(
+        *_kept(records),
+        *[F.coalesce(*[value(F.lit(n)) for n in names], nothing).alias(c) for c, names in (("_question", question_names), ("_answer", answer_names))],
+        at(0).alias("_first"),
+        at(1).alias("_second"),
+    )
+    use = falsy("_question", T.VariantType()) | falsy("_answer", T.VariantType())
+    chosen = {"instruction": ("_first", "_question"), "response": ("_second", "_answer")}
+
+    def text(name: str) -> Column:
+        return F.when(~F.is_variant_null(name), as_text(name, T.VariantType()))
+
+    return named.select(
+        *_kept(records), *[F.when(use, text(place)).otherwise(text(key)).alias(c) for c, (place, key) in chosen.items()]
+    )

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pairloom.sources.readers import scan
+from pairloom.sources.readers import read_json_records, scan
 from pairloom.sources.writers import write_raw
 
 log = logging.getLogger(__name__)
@@ -16,13 +16,23 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class Source:
-    """Where a dataset is, and how its columns become those of the raw table."""
+    """Where a dataset is, and how its columns become those of the raw table.
+
+    With ``layout``, one of ``read_json_records``, ``resolve`` is given JSON records as they are (``part, pos, v,
+    raw``) instead of columns of an inferred schema; ``resolve_records`` takes those.
+    """
 
     name: str
     path: str
     resolve: Callable[[DataFrame], DataFrame]
     fmt: str = "parquet"
     options: dict[str, str] = field(default_factory=dict)
+    layout: str | None = None
+
+    def rows(self, spark: SparkSession) -> DataFrame:
+        if self.layout is not None:
+            return self.resolve(read_json_records(spark, self.path, self.layout, raw=True))
+        return self.resolve(scan(spark, self.path, self.fmt, **self.options))
 
 
 def collect(
@@ -36,8 +46,7 @@ def collect(
     outcome = []
     for source in sources:
         try:
-            rows = source.resolve(scan(spark, source.path, source.fmt, **source.options))
-            outcome.append((source.name, "saved", write_raw(rows, f"{folder}/{source.name}", fmt)))
+            outcome.append((source.name, "saved", write_raw(source.rows(spark), f"{folder}/{source.name}", fmt)))
         except Exception as error:  # whatever goes wrong with one source
             reason = str(error).partition("\n")[0]
             log.warning("source %s failed: %s: %s", source.name, type(error).__name__, reason)

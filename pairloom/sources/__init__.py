@@ -17,6 +17,7 @@ from pairloom.sources.writers import (
     materialise_if_absent,
     split_file_report,
     write_json_arrays,
+    write_json_texts,
     write_raw,
     write_splits,
 )
@@ -36,6 +37,7 @@ __all__ = [
     "text_fields",
     "with_row_index",
     "write_json_arrays",
+    "write_json_texts",
     "write_raw",
     "write_splits",
 ]

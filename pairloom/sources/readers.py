@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from pairloom.functions.text import as_text
 from pairloom.session import delete_folder, has_data, new_folder
+from pairloom.sources.arrays import read_elements
 
 log = logging.getLogger(__name__)
 
@@ -99,26 +100,32 @@ def read_or_empty(
 
 
 def read_json_records(
-    spark: SparkSession, path: str, layout: str = "lines", landed: bool = False
+    spark: SparkSession, path: str, layout: str = "lines", landed: bool = False, raw: bool = False
 ) -> DataFrame:
     """JSON objects as ``part, pos, v``, where the variant ``v`` keeps the type of every value.
 
+    ``raw`` adds each record's own text, in which its keys have their order; it goes with lines and documents.
+
     ``lines``     one object per line.
     ``indented``  files that each hold one array of objects written with an indent of two. The
                   lines between two records then serve as record separator, so a file is split
                   into blocks like any text file: a raw line break cannot occur inside a JSON
                   string, and nested objects are indented deeper.
-    ``document``  files that each hold one array in any layout; read in the same way. A file without
-                  those separator lines stays in one piece, which one task parses.
+    ``document``  files that each hold one array in any layout, split into blocks at its commas: a
+                  scan of all blocks tells which of these part elements (``arrays``). It reads the
+                  files three times; ``indented`` reads its own layout once or twice.
 
     Every element of an array is a record, also ``{}`` and ``null``. What is not valid JSON is an error,
     as is an array that is cut off or that something follows. ``landed`` as in ``scan``.
     """
+    kept = [PART, POS, "v", "raw"] if raw else [PART, POS, "v"]
     if layout == "lines":
-        return _read_lines(spark, path, landed)
-    if layout in ("indented", "document"):
+        return _read_lines(spark, path, landed).select(*kept)
+    if layout == "document":
+        return _read_elements(spark, path).select(*kept)
+    if layout == "indented" and not raw:
         return _read_arrays(spark, path)
-    raise ValueError(f"unknown layout {layout!r}")
+    raise ValueError(f"unknown layout {layout!r}" if not raw else f"the text of records is not kept with layout {layout!r}")
 
 
 def _values(text: Column, strict: bool = True) -> Column:
@@ -148,11 +155,11 @@ def _read_lines(spark: SparkSession, path: str, landed: bool) -> DataFrame:
         spark.read.text(path)
         .select(_block_name().alias("_block"), F.monotonically_increasing_id().alias("_row"), "value")
         .where(F.trim(F.translate(line, "\t\r", "  ")) != "")
-        .select("_block", "_row", values.alias("_values"))
-        .select("_block", "_row", alone.alias("v"))
+        .select("_block", "_row", "value", values.alias("_values"))
+        .select("_block", "_row", F.col("value").alias("raw"), alone.alias("v"))
     )
     if not landed:
-        return df.select(F.col("_block").alias(PART), F.col("_row").alias(POS), "v")
+        return df.select(F.col("_block").alias(PART), F.col("_row").alias(POS), "v", "raw")
     part = F.try_variant_get("v", f"$.{PART}", "string")
     pos = F.try_variant_get("v", f"$.{POS}", "bigint")
     both = part.isNotNull() & pos.isNotNull()
@@ -160,7 +167,17 @@ def _read_lines(spark: SparkSession, path: str, landed: bool) -> DataFrame:
         F.when(both, part).otherwise(F.col("_block")).alias(PART),
         F.when(both, pos).otherwise(F.col("_row")).alias(POS),
         "v",
+        "raw",
+    )
+
+
+def _read_elements(spark: SparkSession, path: str) -> DataFrame:
+    part = F.concat("file", F.lit("#"), F.lpad(F.col("block").cast("string"), 20, "0"))
+    alone = F.when(F.size("_values") == 1, F.get("_values", F.lit(0))).otherwise(
+        F.raise_error(F.lit("an element is missing between two commas")).cast("variant")
     )
+    elements = read_elements(spark, path).select(part.alias(PART), F.col("pos").alias(POS), "raw", _values(F.col("raw")).alias("_values"))
+    return elements.select(PART, POS, alone.alias("v"), "raw")
 
 
 def _read_arrays(spark: SparkSession, path: str) -> DataFrame:

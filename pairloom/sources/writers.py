@@ -35,31 +35,40 @@ def write_raw(df: DataFrame, path: str, fmt: str = "json") -> int:
     return seen.get["n"]
 
 
-def write_json_arrays(df: DataFrame, path: str) -> None:
+def write_json_arrays(df: DataFrame, path: str, indented: bool = True) -> None:
     """Overwrites ``path`` with one JSON array per task, for tools that read whole arrays.
 
-    Records are rendered by Spark; the helper only puts brackets and commas around them.
+    Records are rendered by Spark; the helper only puts brackets and commas around them. Without
+    ``indented`` an array stands on one line.
     """
     record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
-    inner = F.concat(F.lit("    "), F.substr(record, F.lit(2), F.length(record) - 2))
+    write_json_texts(df.select(record.alias("value")), path, indented)
+
+
+def write_json_texts(records: DataFrame, path: str, indented: bool = False) -> None:
+    """``write_json_arrays`` of records (objects) that are JSON text already, in the only column."""
+    record = F.col(records.columns[0])
+    inner = record if not indented else F.concat(F.lit("    "), F.substr(record, F.lit(2), F.length(record) - 2))
 
     # Defined here so that it is sent to the executors whole, wherever the package is installed.
     def join_records(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         # The text writer ends every row with the line break that head, separator and tail start
         # or end with, so it is left out here.
-        between = ARRAY_SEPARATOR.removeprefix("\n")
+        head, between, tail = (ARRAY_HEAD, ARRAY_SEPARATOR, ARRAY_TAIL) if indented else ("[", ",", "]")
+        between, tail = between.removeprefix("\n"), tail.removeprefix("\n")
         started = False
         for batch in batches:
             lines = between + batch["value"]
             if not started and len(lines):
-                lines.iloc[0] = ARRAY_HEAD + batch["value"].iloc[0]
+                lines.iloc[0] = head + batch["value"].iloc[0]
                 started = True
             yield pd.DataFrame({"value": lines})
         if started:
-            yield pd.DataFrame({"value": [ARRAY_TAIL.removeprefix("\n")]})
+            yield pd.DataFrame({"value": [tail]})
 
-    lines = df.select(inner.alias("value")).mapInPandas(join_records, "value string")
-    lines.write.mode("overwrite").text(path)
+    lines = records.select(inner.alias("value")).mapInPandas(join_records, "value string")
+    writer = lines.write.mode("overwrite")
+    (writer if indented else writer.option("lineSep", " ")).text(path)
 
 
 def write_splits(df: DataFrame, folder: str, fmt: str = "parquet") -> None:
