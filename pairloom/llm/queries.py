@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairloom.llm import bpe, jaccard, langid, licenses, lines, lm, mixing, neighbours, quality, toxicity, urlfilter, variants
+from pairloom.llm import bpe, jaccard, langid, licenses, lines, lm, mixing, neighbours, phrases, quality, toxicity, urlfilter, variants
 from pairloom.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -119,6 +119,14 @@ def op4_licenses(spark: SparkSession, sf: str) -> DataFrame:
     return licenses.scan(table(spark, sf, "documents").select("doc_id", "text")).drop("text")
 
 
+@query
+def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.mine(table(spark, sf, "documents").select("lang", "text"))
+
+
+ORACLE["op11_phrases"] = phrases.ORACLE_SQL
+
+
 @query
 def op12_variants(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents").select("doc_id", "text")
