@@ -1,8 +1,8 @@
 """Phrase collocations, counted level by level in tiles of frequency-ranked ids.
 
 Texts are packed into units of one language, about 16 MB of text each: a list of words and the sequence of
-their places in it. Everything later reads units. On each level the frequent phrases of k words have ids in
-order of frequency, and a unit holds the places where one begins with its id. Two neighbours that both are
+their places in it. Everything later reads units. On each level the frequent phrases of k words have ids by
+rank of frequency, and a unit holds the places where one begins with its id. Two neighbours that both are
 frequent make a phrase of k + 1 words, a cell of the table of id pairs. In a unit, tiles of the table in which
 many cells are met are counted by ``bincount`` at the cell's own address, all others as sorted coordinates.
 Counts then meet by tile, packed, where frequent pairs get new ids by rank and every unit is told those of its
@@ -11,6 +11,7 @@ own pairs: they are the ids of the next level. No dictionary is ever sent to all
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import reduce
 
@@ -20,7 +21,7 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pairloom.llm.common import ranked, ship, stored
+from pairloom.llm.common import ship, stored
 
 ship(__name__)
 
@@ -46,7 +47,9 @@ _PLAIN = bytes.maketrans(BREAKS + GAPS, b"\n" * len(BREAKS) + b" " * len(GAPS))
 UNITS = "unit long, lang string, words array<string>, counts array<long>, n_words long, at binary, ids binary"
 PLACES = "unit long, lang string, at binary, ids binary"
 PACKETS = "g long, unit long, lang string, i binary, j binary, c binary"
-MET = "unit long, lang string, id long, i long, j long, f long, pairs binary, pair_ids binary"
+WORD_PACKETS = "g long, unit long, lang string, words array<string>, counts array<long>, places binary"
+# What a group finds: frequent words or pairs, and for each unit (then with asked) the ids of its own.
+MET = "unit long, lang string, word string, id long, i long, j long, f long, asked binary, ids binary"
 
 
 class _Numbers(dict):
@@ -150,8 +153,68 @@ def _cuts(sorted_numbers: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(starts, [*starts[1:], len(sorted_numbers)]))
 
 
+def _met(found: list, told: list[tuple]) -> pa.Table:
+    """Rows of ``MET``: columns of what is frequent, then rows of unit, asked and ids."""
+    none = [None] * len(told)
+    asked = [[x[k] for x in told] for k in range(3)]
+    kinds = (pa.int64(), pa.string(), pa.string(), *[pa.int64()] * 4, pa.binary(), pa.binary())
+    names = ["unit", "lang", "word", "id", "i", "j", "f", "asked", "ids"]
+    empty = [None] * len(found[0])
+    first, second = [empty, *found, empty, empty], [asked[0], *[none] * 6, *asked[1:]]
+    return pa.table([pa.chunked_array([pa.array(x, t), pa.array(y, t)]) for x, y, t in zip(first, second, kinds)], names)
+
+
+def _ranks(sums: np.ndarray, least: int, n_groups: int, group: int) -> np.ndarray:
+    """Ids of what is frequent, -1 for the rest. Each group gives ranks of its own, dealt so that no two
+    share one: what is frequent has a small id."""
+    frequent = np.flatnonzero(sums >= least)
+    ids = np.full(len(sums), -1, np.int64)
+    ids[frequent[np.argsort(-sums[frequent], kind="stable")]] = np.arange(len(frequent)) * n_groups + group
+    return ids
+
+
+def met_words(units: DataFrame, n_groups: int, least: int) -> DataFrame:
+    """Frequent words with ids, and for each unit the places of its list that hold one."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                start = zlib.crc32(row["lang"].encode("utf-8", "replace"))
+                g = np.array([zlib.crc32(w.encode("utf-8", "replace"), start) for w in row["words"]], np.int64) % n_groups
+                order = np.argsort(g, kind="stable")
+                words, counts = np.array(row["words"], object)[order], np.array(row["counts"], np.int64)[order]
+                out = [(int(g[order[s]]), row["unit"], row["lang"], words[s:e], counts[s:e], pack(np.diff(order[s:e], prepend=0))) for s, e in _cuts(g[order])]
+                if out:
+                    kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64()), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*out), kinds)], ["g", "unit", "lang", "words", "counts", "places"])
+
+    def meet(key: tuple, packets: pa.Table) -> pa.Table:
+        numbers, sums, own = {}, [], []
+        rows = packets.to_pylist()
+        for row in rows:
+            at = np.array([numbers.setdefault((row["lang"], w), len(numbers)) for w in row["words"]], np.int64)
+            sums.extend([0] * (len(numbers) - len(sums)))
+            for k, c in zip(at.tolist(), row["counts"]):
+                sums[k] += c
+            own.append(at)
+        sums = np.array(sums, np.int64)
+        ids = _ranks(sums, least, n_groups, key[0].as_py())
+        names = list(numbers)
+        kept = np.flatnonzero(ids >= 0)
+        none = [None] * len(kept)
+        found = [[names[k][0] for k in kept], [names[k][1] for k in kept], ids[kept], none, none, sums[kept]]
+        told = []
+        for row, at in zip(rows, own):
+            hit = np.flatnonzero(ids[at] >= 0)
+            if len(hit):
+                told.append((row["unit"], pack(np.cumsum(unpack(row["places"]))[hit]), pack(ids[at[hit]])))
+        return _met(found, told)
+
+    return units.select("unit", "lang", "words", "counts").mapInArrow(count, WORD_PACKETS).groupBy("g").applyInArrow(meet, MET)
+
+
 def met_pairs(units: DataFrame, n_groups: int, least: int) -> DataFrame:
-    """Frequent pairs with new ids, and for each unit (rows with ``pairs``) the ids of its own."""
+    """Frequent pairs with new ids, and for each unit the ids of its own."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,21 +239,13 @@ def met_pairs(units: DataFrame, n_groups: int, least: int) -> DataFrame:
         if len(left) * len(right) > 4 * len(cell):
             cell = np.unique(cell, return_inverse=True)[1]
         sums = np.bincount(cell, weights=c).astype(np.int64)
-        frequent = np.flatnonzero(sums >= least)
-        # Ids of a group are its ranks, dealt so that no two groups share one and the order is kept.
-        ids = np.full(len(sums), -1, np.int64)
-        ids[frequent[np.argsort(-sums[frequent], kind="stable")]] = np.arange(len(frequent)) * n_groups + key[0].as_py()
-        own = ids[cell]
+        own = _ranks(sums, least, n_groups, key[0].as_py())[cell]
         kept = np.flatnonzero(own >= 0)
         one = kept[np.unique(own[kept], return_index=True)[1]]
         langs = np.array([r["lang"] for r in rows], object)[of[one]]
-        columns = [[None] * len(one), langs, own[one], i[one], j[one], sums[cell[one]], [None] * len(one), [None] * len(one)]
+        found = [langs, [None] * len(one), own[one], i[one], j[one], sums[cell[one]]]
         told = [(rows[of[kept[s]]]["unit"], pack(np.concatenate([i[kept[s:e]], j[kept[s:e]]])), pack(own[kept[s:e]])) for s, e in _cuts(of[kept])]
-        none = [None] * len(told)
-        more = [[x[0] for x in told], none, none, none, none, none, [x[1] for x in told], [x[2] for x in told]]
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
-        names = ["unit", "lang", "id", "i", "j", "f", "pairs", "pair_ids"]
-        return pa.table([pa.chunked_array([pa.array(x, t), pa.array(y, t)]) for x, y, t in zip(columns, more, kinds)], names)
+        return _met(found, told)
 
     return units.mapInArrow(count, PACKETS).groupBy("g").applyInArrow(meet, MET)
 
@@ -205,11 +260,11 @@ def next_places(units: DataFrame, told: DataFrame) -> DataFrame:
             replies = told.to_pylist()
             if not replies or not len(at):
                 continue
-            pairs = [unpack(r["pairs"]).reshape(2, -1) for r in replies]
+            pairs = [unpack(r["asked"]).reshape(2, -1) for r in replies]
             known = np.unique(np.concatenate([i, j]))
             n = len(known)
             left, right = (np.searchsorted(known, np.concatenate([p[k] for p in pairs])) for k in (0, 1))
-            new = np.concatenate([unpack(r["pair_ids"]) for r in replies])
+            new = np.concatenate([unpack(r["ids"]) for r in replies])
             order = np.argsort(left * n + right)
             cells, new = (left * n + right)[order], new[order]
             cell = np.searchsorted(known, i) * n + np.searchsorted(known, j)
@@ -234,13 +289,13 @@ def word_places(units: DataFrame, told: DataFrame) -> DataFrame:
         for row in units.to_pylist():
             at, ids = _places(row)
             new = np.full(int(ids.max(initial=-1)) + 1, -1, np.int64)
-            if told.num_rows and len(ids):
-                new[told.column("place").to_numpy()] = told.column("id").to_numpy()
+            for reply in told.to_pylist():
+                new[unpack(reply["asked"])] = unpack(reply["ids"])
             hit = np.flatnonzero(new[ids] >= 0)
             out.append((row["unit"], row["lang"], pack(np.diff(at[hit], prepend=0)), pack(new[ids[hit]])))
         return _unit_table(out)
 
-    return units.select("unit", "lang", "at", "ids").groupBy("unit").cogroup(told.groupBy("of")).applyInArrow(put, PLACES)
+    return units.select("unit", "lang", "at", "ids").groupBy("unit").cogroup(told.groupBy("unit")).applyInArrow(put, PLACES)
 
 
 def _scores(size: int) -> Column:
@@ -276,14 +331,10 @@ def mine(
     n_words = units.agg(F.coalesce(F.sum("n_words"), F.lit(0))).head()[0]
     n_groups = max(1, -(-n_words // GROUP_WORDS))
 
-    listed = units.select("unit", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("place", "x"))
-    listed = listed.select("unit", "lang", "place", F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
-    words = listed.groupBy("lang", "word").agg(F.sum("c").alias("f")).where(F.col("f") >= least)
-    words = ranked(words, [(-F.col("f")).alias("less"), F.col("lang"), F.col("word")], "id")
-    words = stored(words, "frequent")
-    told = listed.join(words, ["lang", "word"]).select(F.col("unit").alias("of"), "place", "id")
-    places = stored(word_places(units, told), "places")
-    found = words.select("lang", "id", "f", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("f").alias("heads"), F.array("f").alias("tails"))
+    told = ["unit", "asked", "ids"]
+    met = stored(met_words(units, n_groups, least), "words")
+    found = met.where("id IS NOT NULL").select("id", F.col("word").alias("phrase"), F.col("word").alias("last"), F.array("f").alias("heads"), F.array("f").alias("tails"))
+    places = stored(word_places(units, met.where("asked IS NOT NULL").select(*told)), "places")
 
     candidates = []
     for size in range(2, longest + 1):
@@ -301,7 +352,7 @@ def mine(
         candidates.append(longer.withColumn("size", F.lit(size)))
         found = longer
         if size < longest:
-            places = stored(next_places(places, met.where("pairs IS NOT NULL").select("unit", "pairs", "pair_ids")), "places")
+            places = stored(next_places(places, met.where("asked IS NOT NULL").select(*told)), "places")
 
     scored = [c.join(sizes, "lang").select("lang", "phrase", F.col("f").alias("a"), "n", _scores(k).alias("best")) for k, c in enumerate(candidates, 2)]
     rows = reduce(DataFrame.unionByName, scored).select("lang", "phrase", "a", "best.l", "best.r", "n", "best.score")
