@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from pairloom.llm.common import fresh, ship
+from pairloom.llm.common import Parcel, fresh, ship
 
 ship(__name__)
 
@@ -225,7 +225,7 @@ def encode(
     text are encoded as such. Repeated rows are encoded like any other, an empty table stays empty.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(load_automaton(spark, tokenizer))
+    shared = spark.sparkContext.broadcast(Parcel(load_automaton(spark, tokenizer)))
     count, ids, back = fresh(docs, "n_tokens", "token_ids", "decoded")
     schema = T.StructType(
         [
@@ -264,7 +264,7 @@ def decode(
 ) -> DataFrame:
     """Adds the text that each row's packed token ids spell; null ids give an empty text."""
     spark = encoded.sparkSession
-    shared = spark.sparkContext.broadcast(load_automaton(spark, tokenizer))
+    shared = spark.sparkContext.broadcast(Parcel(load_automaton(spark, tokenizer)))
     (back,) = fresh(encoded, name)
     schema = T.StructType([*encoded.schema.fields, T.StructField(back, T.StringType())])
     place = encoded.columns.index(ids)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import zlib
 
@@ -23,6 +24,17 @@ def ship(module_name: str) -> None:
 ship(__name__)
 
 
+class Parcel:
+    """An object to be broadcast. Workers get the object itself, with its class, so that they need no package;
+    a broadcast's own pickling would only name the class's module."""
+
+    def __init__(self, value: object) -> None:
+        self.value = value
+
+    def __reduce__(self) -> tuple:
+        return pickle.loads, (cloudpickle.dumps(self.value),)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The rows as a parquet table in the shared folder.
 

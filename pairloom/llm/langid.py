@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-from pairloom.llm.common import fresh, row_hash, ship
+from pairloom.llm.common import Parcel, fresh, row_hash, ship
 
 ship(__name__)
 
@@ -241,7 +241,8 @@ def fit(
     """A network fitted to at most ``per_language`` documents of each language.
 
     The documents are drawn by a hash of their text. Of each, up to three windows spread over the
-    text are used. Rows without text or label do not count. Without any the network knows nothing.
+    text are used. Rows without text or label do not count. Without any the network knows nothing. Of more
+    than ``MAX_LANGUAGES`` languages the most frequent are learned, which bounds the sample.
     """
     size = SPAN + 2 * CONTEXT
     length = F.length(text)
@@ -251,12 +252,10 @@ def fit(
         name.alias("_language"), row_hash(text).alias("_draw"), row_hash(*labelled.columns).alias("_row"),
         *[F.substring(text, p, F.lit(size)).alias(f"_w{k}") for k, p in enumerate(places)],
     )
-    counts = rows.groupBy("_language").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()
-    if len(counts) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    counts = rows.groupBy("_language").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_language").limit(MAX_LANGUAGES).collect()
     # Of a frequent language a fraction by row hash is enough to choose from, and is dealt out
     # instead of all its rows. Eight times the sample makes fewer than wanted all but impossible.
-    share = F.lit(1.0)
+    share = F.lit(0.0)
     for row in counts:
         share = F.when(F.col("_language") == row._language, min(1.0, 8 * per_language / row.n)).otherwise(share)
     position = F.pmod("_row", F.lit(1 << 30)) / F.lit(float(1 << 30))
@@ -287,7 +286,7 @@ def identify(docs: DataFrame, net: ByteGru, text: str = "text") -> DataFrame:
     A null text, one without a letter, and any text if nothing was learned get ``und`` and 0. All
     columns and rows stay, repeated ones too; a clashing name makes the new column's get an underscore.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(net)
+    shared = docs.sparkSession.sparkContext.broadcast(Parcel(net))
     name, score = fresh(docs, "lang_pred", "lang_score")
     schema = T.StructType(
         [*docs.schema.fields, T.StructField(name, T.StringType()), T.StructField(score, T.DoubleType())]

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from pairloom.llm.common import fresh, ship, stored
+from pairloom.llm.common import Parcel, fresh, ship, stored
 
 ship(__name__)
 
@@ -321,7 +321,7 @@ def score(docs: DataFrame, model: Classifier, text: str = "text", threshold: flo
     Null and empty texts have no terms and score low. Rows and columns stay, repeated rows too; a
     clashing name makes the new column's get an underscore.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(Parcel(model))
     value, predicted = fresh(docs, "toxicity", "toxic_predicted")
     schema = T.StructType(
         [*docs.schema.fields, T.StructField(value, T.DoubleType()), T.StructField(predicted, T.IntegerType())]
