@@ -11,6 +11,9 @@ ORDER = ("src_rank", "part", "pos")
 
 # The digest's first two bytes name one of this many buckets, all of about the same size.
 BUCKETS = 65536
+# A bucket with more keys than wanted is cut by up to so many further bits of the digest.
+FURTHER_BITS = 5
+BUCKET_KEYS = 100_000
 
 
 def seeded_order(
@@ -19,21 +22,24 @@ def seeded_order(
     order_cols: Sequence[str] = ORDER,
     seed: int = 42,
     partitions: int | None = None,
+    bucket_keys: int = BUCKET_KEYS,
 ) -> DataFrame:
     """First copy of each key, with ``split_pos`` (its place, from 0) and ``n_unique``.
 
     The order is that of SHA-256 over seed and key. It depends on nothing else, so any layout of
     the same rows gives the same order, and equal keys are recognised by equal digests.
 
-    1. A pass over the digests counts the copies of each key. Two small tables come out of it:
-       the number of keys before each bucket (at most ``BUCKETS`` rows) and the keys with more
-       copies than an average bucket has rows (fewer than ``BUCKETS``, as the copies of all keys
-       add up to the number of rows). Both are broadcast; their size does not grow with the data.
+    1. A pass over the digests counts the copies of each key. Three small tables come out of it: into how
+       many parts each bucket is cut, the number of keys before each part (together at most ``BUCKETS <<
+       FURTHER_BITS`` rows), and the keys with more copies than an average bucket has rows (fewer than
+       ``BUCKETS``, as the copies of all keys add up to the number of rows). All are broadcast.
     2. In the pass over the rows, later copies of those hot keys are dropped before the shuffle.
        The one shuffle of whole rows brings each stretch of buckets to one task, in digest order;
-       there the remaining copies are dropped and the rows of each bucket are numbered.
+       there the remaining copies are dropped and the rows of each part are numbered.
 
-    ``partitions`` defaults to ``spark.sql.shuffle.partitions``: set that to suit the data.
+    ``partitions`` defaults to ``spark.sql.shuffle.partitions``: set that to suit the data. Rows are numbered
+    in parts of about ``bucket_keys`` at the most (more only beyond ``BUCKETS << FURTHER_BITS`` parts); the
+    order does not depend on it.
     """
     spark = df.sparkSession
     if partitions is None:
@@ -48,6 +54,9 @@ def seeded_order(
     bucket = F.coalesce(
         F.conv(F.hex(F.substring("_digest", 1, 2)), 16, 10).cast("int"), F.lit(0)
     )
+    # The byte after the bucket's; of it the leading bits that cut the bucket into its parts.
+    next_byte = F.coalesce(F.conv(F.hex(F.substring("_digest", 3, 1)), 16, 10).cast("int"), F.lit(0))
+    part = F.floor(next_byte * F.coalesce("_parts", F.lit(1)) / 256).cast("int")
     place = F.struct(*order_cols)
     keyed = df.withColumn("_digest", digest).withColumn("_bucket", bucket)
 
@@ -57,22 +66,32 @@ def seeded_order(
     # True for every row. It makes each use of `copies` need all of its columns, so that Spark
     # sees the same shuffle in all of them and runs it once.
     counted = (F.col("_copies") > 0) & F.col("_first").isNotNull()
-    in_order = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    in_order = Window.orderBy("_bucket", "_part").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
+    # Counted by the finest parts first: the parts of a bucket are runs of them.
+    finest = 1 << FURTHER_BITS
+    fine = copies.groupBy("_bucket", F.floor(next_byte * finest / 256).cast("int").alias("_fine")).agg(
+        F.count_if(counted).alias("_keys"), F.sum(F.when(counted, F.col("_copies"))).alias("_rows")
+    )
+    whole = fine.groupBy("_bucket").agg(F.sum("_keys").alias("_all"), F.sum("_rows").alias("_rows"))
+    wanted = F.ceil(F.log2(F.greatest(F.col("_all") / bucket_keys, F.lit(1.0))))
+    parts = F.pow(F.lit(2.0), F.least(wanted, F.lit(FURTHER_BITS))).cast("int")
+    whole = whole.withColumn("_parts", parts)
+    fine = fine.join(F.broadcast(whole.select("_bucket", "_parts")), "_bucket").withColumn(
+        "_part", F.floor(F.col("_fine") * F.col("_parts") / finest).cast("int")
+    )
     offsets = (
-        copies.groupBy("_bucket")
-        .agg(F.count_if(counted).alias("_keys"))
+        fine.groupBy("_bucket", "_part")
+        .agg(F.sum("_keys").alias("_keys"))
         .select(
             "_bucket",
+            "_part",
             F.coalesce(F.sum("_keys").over(in_order), F.lit(0)).alias("_before"),
             F.sum("_keys").over(everything).alias("n_unique"),
         )
     )
-    n_rows = (
-        copies.groupBy("_bucket")
-        .agg(F.sum(F.when(counted, F.col("_copies"))).alias("_rows"))
-        .select("_bucket", F.sum("_rows").over(everything).alias("_n_rows"))
-    )
+    cut = whole.where("_parts > 1").select("_bucket", "_parts")
+    n_rows = whole.select("_bucket", F.sum("_rows").over(everything).alias("_n_rows"))
     hot = (
         copies.where("_copies > 1")
         .join(F.broadcast(n_rows), "_bucket")
@@ -85,16 +104,19 @@ def seeded_order(
         keyed.join(F.broadcast(hot), "_digest", "left")
         .where(F.col("_first").isNull() | F.col("_first").eqNullSafe(place))
         .drop("_first")
+        .join(F.broadcast(cut), "_bucket", "left")
+        .withColumn("_part", part)
+        .drop("_parts")
         .withColumn("_target", target)
         .repartitionById(partitions, "_target")
     )
-    same_key = Window.partitionBy("_target", "_bucket", "_digest").orderBy(*order_cols)
-    in_bucket = Window.partitionBy("_target", "_bucket").orderBy("_digest")
+    same_key = Window.partitionBy("_target", "_bucket", "_part", "_digest").orderBy(*order_cols)
+    in_part = Window.partitionBy("_target", "_bucket", "_part").orderBy("_digest")
     return (
         placed.withColumn("_copy", F.row_number().over(same_key))
         .where("_copy = 1")
-        .withColumn("_row", F.row_number().over(in_bucket))
-        .join(F.broadcast(offsets), "_bucket")
+        .withColumn("_row", F.row_number().over(in_part))
+        .join(F.broadcast(offsets), ["_bucket", "_part"])
         .withColumn("split_pos", F.col("_before") + F.col("_row") - 1)
         .select(*df.columns, "split_pos", "n_unique")
     )

@@ -56,6 +56,25 @@ def test_order_equals_brute_force_in_any_layout(spark, skewed_rows, layout, part
     assert ordered_rows(df, partitions=partitions) == brute_force(skewed_rows)
 
 
+@pytest.mark.parametrize("bucket_keys", [0.01, 0.3, 1, 3])
+def test_buckets_cut_further_keep_the_order(spark, skewed_rows, bucket_keys):
+    df = spark.createDataFrame(skewed_rows, SCHEMA).repartition(5)
+    assert ordered_rows(df, bucket_keys=bucket_keys, partitions=3) == brute_force(skewed_rows)
+
+
+def test_parts_of_a_bucket_are_small(spark):
+    """Rows of one bucket only: as many keys as a crowded one has, made by choosing keys by their digest."""
+    keys, n = [], 0
+    while len(keys) < 40:
+        n += 1
+        if hashlib.sha256(f"42:k{n}".encode()).digest()[0] == 7 and hashlib.sha256(f"42:k{n}".encode()).digest()[1] < 4:
+            keys.append(f"k{n}")
+    rows = rows_of(keys * 3)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    for bucket_keys in (1, 2, 4, 1000):
+        assert ordered_rows(df, bucket_keys=bucket_keys) == brute_force(rows)
+
+
 def test_order_depends_on_the_seed(spark, skewed_rows):
     df = spark.createDataFrame(skewed_rows, SCHEMA)
     assert ordered_rows(df, seed=7) == brute_force(skewed_rows, seed=7) != brute_force(skewed_rows)
