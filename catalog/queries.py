@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import suppress
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
@@ -26,6 +28,7 @@ from pairloom.operators import (
     resolve_pair,
     resolve_records,
     seeded_order,
+    subword_tokenizer,
     tag,
     union_ordered,
     with_prompt,
@@ -39,6 +42,7 @@ from pairloom.plans import (
 from pairloom.plans.clean_split import RAW_SCHEMA
 from pairloom.session import new_folder
 from pairloom.sources import (
+    first_record,
     load_named_splits,
     load_split_files,
     materialise_if_absent,
@@ -55,6 +59,8 @@ from pairloom.sources import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# Queries whose results SQL cannot express; tests compare them with plain Python.
+WITHOUT_SQL: dict[str, Query] = {}
 
 # --- Fixed values ------------------------------------------------------------------------------
 DOMAIN = "manufacturing_process_improvement"
@@ -390,6 +396,24 @@ def first_row_preview(spark: SparkSession, sf: str) -> DataFrame:
     return first_row(views.a_raw(spark, sf)).select("instruction")
 
 
+@query
+def first_record_preview(spark: SparkSession, sf: str) -> DataFrame:
+    """Of a table, of several folders of which the first hold empty files, and of lines of text."""
+    folder, lines = new_folder(spark, "files"), new_folder(spark, "lines")
+    rows = views.table(spark, sf, "documents").select("doc_id", "text")
+    folders = [f"{folder}/{k}" for k in range(4)]
+    for k, path in enumerate(folders):
+        some = rows.where(F.lit(False)) if k < 3 else rows.where("doc_id > 10").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+        some.write.parquet(path)
+    rows.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.json(lines)
+    found = {
+        "table": first_record(spark, f"{sf}/documents.parquet").select("doc_id", "text"),
+        "after empty files": first_record(spark, folders),
+        "lines": first_record(spark, lines, "json", "doc_id bigint, text string"),
+    }
+    return reduce(DataFrame.unionByName, [d.select(F.lit(n).alias("source"), "doc_id", "text") for n, d in found.items()])
+
+
 # Expressions -------------------------------------------------------------------------------------
 
 
@@ -540,6 +564,34 @@ def length_budget_512(spark: SparkSession, sf: str) -> DataFrame:
     return length_budget(prepared).drop("instruction", "response", "text")
 
 
+def length_budget_subwords(spark: SparkSession, sf: str) -> DataFrame:
+    """In tokens of a public tokenizer, of whole documents."""
+    import public_tokenizers
+
+    tokenizer = subword_tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    return length_budget(views.table(spark, sf, "documents").select("doc_id", "text"), tokenizer=tokenizer).drop("text")
+
+
+WITHOUT_SQL["length_budget_subwords"] = length_budget_subwords
+
+
+@query
+def versioned_overwrite(spark: SparkSession, sf: str) -> DataFrame:
+    """Splits written three times, the last time by a job that fails; then collected, split and prepared anew."""
+    folder, raw, out = new_folder(spark, "splits"), new_folder(spark, "raw"), new_folder(spark, "splits")
+    rows = views.splits(spark, sf)
+    write_splits(rows.where("split = 'test'"), folder, versioned=True)
+    write_splits(rows, folder, versioned=True)
+    broken = rows.withColumn("response", F.raise_error(F.lit("broken row")).cast("string"))
+    with suppress(Exception):
+        write_splits(broken, folder, versioned=True)
+    sources = [Source("labelled", f"{sf}/documents.parquet", views.label_documents)]
+    for _ in range(2):
+        collect(spark, sources, raw, versioned=True)
+        clean_and_split_folder(spark, raw, ["labelled", "absent"], out, versioned=True)
+    return load_named_splits(spark, folder).withColumn("written", F.lit("twice")).unionByName(load_named_splits(spark, out).withColumn("written", F.lit("anew")))
+
+
 @query
 def export_training_text(spark: SparkSession, sf: str) -> DataFrame:
     return export_text(prepare_training_set(views.named_splits(spark, sf)))

@@ -9,6 +9,7 @@ from pairloom.operators.train_text import (
     export_text,
     length_budget,
     map_rows,
+    subword_tokenizer,
     with_prompt,
 )
 
@@ -32,6 +33,7 @@ __all__ = [
     "resolve_pair",
     "resolve_records",
     "seeded_order",
+    "subword_tokenizer",
     "tag",
     "union_ordered",
     "with_prompt",

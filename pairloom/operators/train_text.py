@@ -42,7 +42,8 @@ def length_budget(
     """Adds ``n_tokens``, ``over_budget`` and ``budget_text``, the first ``max_tokens`` tokens.
 
     A token is a word between whitespace unless ``tokenizer`` is given; word counts are lower than
-    the subword counts of a model. ``tokenizer`` is called once per task, to load the model there.
+    the subword counts of a model. ``tokenizer`` is called once per task, to load the model there
+    (``subword_tokenizer``).
     """
     if tokenizer is not None:
         return _model_budget(df, text_col, max_tokens, tokenizer)
@@ -58,6 +59,40 @@ def length_budget(
     )
 
 
+def subword_tokenizer(path: str) -> Callable[[], Tokenizer]:
+    """For ``length_budget``: tokens of the ``tokenizer.json`` at ``path``, without special ones.
+
+    The file is read here and sent along, so executors need not see it. A text over the budget is cut where its
+    first token beyond the budget begins; a character that the cut goes through falls to the rest, so the part
+    is a prefix of the text and never has characters of more than ``max_tokens`` tokens.
+    """
+    with open(path, encoding="utf-8") as file:
+        content = file.read()
+
+    def load() -> Tokenizer:
+        import os
+
+        # A task has one core; threads of its own would take those of others.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer as Model
+
+        model = Model.from_str(content)
+        model.no_truncation()
+        model.no_padding()
+
+        def tokenize(texts: Sequence[str], max_tokens: int) -> Iterator[tuple[int, str]]:
+            # A few at a time, as the tokens of a text take many times its size.
+            for start in range(0, len(texts), 64):
+                some = list(texts[start : start + 64])
+                for text, found in zip(some, model.encode_batch(some, add_special_tokens=False)):
+                    n = len(found)
+                    yield n, text if n <= max_tokens else text[: found.offsets[max_tokens][0]]
+
+        return tokenize
+
+    return load
+
+
 def _model_budget(
     df: DataFrame, text_col: str, max_tokens: int, tokenizer: Callable[[], Tokenizer]
 ) -> DataFrame:

@@ -55,6 +55,7 @@ def clean_and_split_folder(
     fractions: tuple[float, float] = (0.8, 0.1),
     partitions: int | None = None,
     input_partitions: int | None = None,
+    versioned: bool = False,
 ) -> None:
     """``clean_and_split`` from raw tables or files to split folders, replacing what is there.
 
@@ -62,6 +63,7 @@ def clean_and_split_folder(
     is ``parquet`` or one of ``read_json_records``; either way a value that is not text is empty.
     Raw tables that ``collect`` has written carry their order. ``partitions`` sizes the shuffle of whole
     rows, ``input_partitions`` deals small inputs out to more tasks. Landed copies are deleted at the end.
+    ``versioned`` as in ``write_splits``; raw tables of either kind are read.
     """
     copies = []
 
@@ -78,7 +80,7 @@ def clean_and_split_folder(
     ]
     try:
         dealt = [spread(s, input_partitions) for s in sources]
-        write_splits(clean_and_split(dealt, seed, fractions, partitions), out_folder, out_fmt)
+        write_splits(clean_and_split(dealt, seed, fractions, partitions), out_folder, out_fmt, versioned)
     finally:
         for rows in copies:
             delete_landed(rows)

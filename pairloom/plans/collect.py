@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import logging
+from collections import Counter
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from pairloom.sources.readers import read_json_records, scan
@@ -13,6 +16,8 @@ from pairloom.sources.writers import write_raw
 
 log = logging.getLogger(__name__)
 
+AT_ONCE = 4
+
 
 @dataclass(frozen=True)
 class Source:
@@ -36,19 +41,36 @@ class Source:
 
 
 def collect(
-    spark: SparkSession, sources: Sequence[Source], folder: str, fmt: str = "parquet"
+    spark: SparkSession,
+    sources: Sequence[Source],
+    folder: str,
+    fmt: str = "parquet",
+    versioned: bool = False,
+    at_once: int = AT_ONCE,
 ) -> DataFrame:
-    """Writes ``folder/<name>`` per source and returns ``source, status, n_rows``.
+    """Writes ``folder/<name>`` per source and returns ``source, status, n_rows``, in the given order.
 
-    An error in one source is logged and does not stop the others. The raw tables keep ``part``
-    and ``pos``, as the names of the written files do not give the order.
+    An error in one source is logged and does not stop the others. Up to ``at_once`` sources run side by side, each
+    in a scheduler pool of its own, so that with ``spark.scheduler.mode=FAIR`` a large one leaves the others
+    their share of the cores; without, its tasks go first but the others still fill what they leave free. The raw
+    tables keep ``part`` and ``pos``, as the names of the written files do not give the order. ``versioned`` as in
+    ``write_raw``.
     """
-    outcome = []
-    for source in sources:
+    twice = [name for name, n in Counter(source.name for source in sources).items() if n > 1]
+    if twice:
+        raise ValueError(f"several sources are named {twice[0]!r}")
+
+    def run(source: Source) -> tuple[str, str, int]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"collect-{source.name}")
         try:
-            outcome.append((source.name, "saved", write_raw(source.rows(spark), f"{folder}/{source.name}", fmt)))
+            return source.name, "saved", write_raw(source.rows(spark), f"{folder}/{source.name}", fmt, versioned)
         except Exception as error:  # whatever goes wrong with one source
             reason = str(error).partition("\n")[0]
             log.warning("source %s failed: %s: %s", source.name, type(error).__name__, reason)
-            outcome.append((source.name, "failed", 0))
+            return source.name, "failed", 0
+
+    with ThreadPoolExecutor(max(1, min(at_once, len(sources)))) as pool:
+        # Each source gets a copy of this thread's local properties, such as a job group.
+        running = [pool.submit(inheritable_thread_target(spark)(run), source) for source in sources]
+        outcome = [source.result() for source in running]
     return spark.createDataFrame(outcome, "source string, status string, n_rows bigint")

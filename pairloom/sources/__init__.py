@@ -3,6 +3,7 @@
 from pairloom.sources.readers import (
     PART,
     POS,
+    first_record,
     land,
     load_named_splits,
     load_split_files,
@@ -25,6 +26,7 @@ from pairloom.sources.writers import (
 __all__ = [
     "PART",
     "POS",
+    "first_record",
     "land",
     "load_named_splits",
     "load_split_files",

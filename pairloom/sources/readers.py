@@ -8,6 +8,7 @@ yields the stored order; no shuffle or driver-side count is needed to fill eithe
 from __future__ import annotations
 
 import logging
+import re
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -16,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 from pairloom.functions.text import as_text
 from pairloom.session import delete_folder, has_data, new_folder
 from pairloom.sources.arrays import read_elements
+from pairloom.sources.versions import current, entry
 
 log = logging.getLogger(__name__)
 
@@ -28,6 +30,9 @@ ARRAY_SEPARATOR = "\n  },\n  {\n"
 ARRAY_TAIL = "\n  }\n]"
 # ----------------------------------------------------------------------------------------------
 
+# Parts whose offsets are broadcast at once; each takes its path and some 20 bytes.
+BROADCAST_PARTS = 65_536
+
 SPLIT_SCHEMA = T.StructType(
     [
         T.StructField("split_pos", T.LongType()),
@@ -52,8 +57,10 @@ def scan(
     Parquet knows each row's index in its file. The other formats are ordered by file, offset of
     the file block, and order of reading within the block. ``landed`` says that the table was written
     with both columns, as ``collect`` does, and that they are its order. Otherwise columns that a
-    dataset happens to have under these names are an error, not an order.
+    dataset happens to have under these names are an error, not an order. Of a versioned table the
+    current version is read.
     """
+    path = _current(spark, path)
     reader = spark.read.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
@@ -70,6 +77,10 @@ def scan(
     return df.select("*", part.alias(PART), pos.alias(POS))
 
 
+def _current(spark: SparkSession, path: str | list[str]) -> str | list[str]:
+    return current(spark, path) if isinstance(path, str) else [current(spark, p) for p in path]
+
+
 def spread(df: DataFrame, partitions: int | None) -> DataFrame:
     """Deals the rows of a scan out to ``partitions`` tasks; with ``None`` they stay where they are.
 
@@ -91,7 +102,7 @@ def read_or_empty(
     read: Callable[[SparkSession, str], DataFrame] = scan,
 ) -> DataFrame:
     """What ``read`` returns, or no rows of ``schema`` and a warning if the path does not exist."""
-    if has_data(spark, path):
+    if entry(spark, path) is not None or has_data(spark, path):
         return read(spark, path)
     log.warning("no data at %s, continuing without it", path)
     # Catalyst recognises this as empty and leaves it out of the plan.
@@ -118,7 +129,7 @@ def read_json_records(
     Every element of an array is a record, also ``{}`` and ``null``. What is not valid JSON is an error,
     as is an array that is cut off or that something follows. ``landed`` as in ``scan``.
     """
-    kept = [PART, POS, "v", "raw"] if raw else [PART, POS, "v"]
+    path, kept = _current(spark, path), [PART, POS, "v", "raw"] if raw else [PART, POS, "v"]
     if layout == "lines":
         return _read_lines(spark, path, landed).select(*kept)
     if layout == "document":
@@ -242,20 +253,84 @@ def delete_landed(df: DataFrame) -> None:
 def with_row_index(df: DataFrame, name: str, within: tuple[str, ...] = ()) -> DataFrame:
     """Adds each row's place in stored order, counted from 0 (per ``within`` group if given).
 
-    Rows of a part are numbered consecutively by the scan, so only the number of rows before each
-    part is missing. That needs one small row per file or block; the data itself is joined to it
-    without being sorted, and stays where it is whenever the part table is small enough for
-    Spark to broadcast. Use on a parquet scan or landed rows as they were stored: the rows are read
+    Rows of a part are numbered consecutively by the scan, so only the number of rows before each part is
+    missing. That is one small row per file or block, which is stored and then broadcast to the rows: all at
+    once, or with more than ``BROADCAST_PARTS`` one range of parts after the other, each joined with the rows
+    of its own parts only (a filter that leaves out other files). So rows stay where they are, whatever the
+    number of parts. Use on a parquet scan or landed rows as they were stored: the rows are read
     twice, so ``pos`` has to be the same each time, and a filter in between would leave gaps.
     """
     keys = [*within, PART]
     before = Window.partitionBy(*within).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    parts = (
+    parts = land(
         df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"), F.min(POS).alias("_first"))
         .select(*keys, (F.coalesce(F.sum("_rows").over(before), F.lit(0)) - F.col("_first")).alias("_shift"))
     )
-    return df.join(parts, keys).withColumn(name, F.col(POS) + F.col("_shift")).drop("_shift")
+    frames = []
+    for low, high in _ranges(parts):
+        inside = F.lit(True)
+        if low is not None:
+            inside = inside & (F.col(PART) > low)
+        if high is not None:
+            inside = inside & (F.col(PART) <= high)
+        frames.append(df.where(inside).join(F.broadcast(parts.where(inside)), keys))
+    return reduce(DataFrame.unionByName, frames).withColumn(name, F.col(POS) + F.col("_shift")).drop("_shift")
+
+
+def _ranges(parts: DataFrame) -> list[tuple[str | None, str | None]]:
+    """Bounds (after, up to) of stretches of parts that are small enough to broadcast."""
+    if parts.count() <= BROADCAST_PARTS:
+        return [(None, None)]
+    number = F.row_number().over(Window.orderBy(PART))
+    ends = parts.select(PART).withColumn("_n", number).where(F.col("_n") % BROADCAST_PARTS == 0)
+    bounds = [None, *sorted({r[PART] for r in ends.collect()}), None]
+    return list(zip(bounds, bounds[1:]))
+
+
+def first_file(rows: DataFrame) -> str | None:
+    """The first file, by path, that holds any of the rows of a scan, or none.
+
+    Files are opened in the order of the listing, at first one, then four times as many if those were empty, and of
+    parquet only the footers are read.
+    """
+    # A listing writes an empty host out, the metadata column does not.
+    files = sorted(re.sub(r"^(\w+):///", r"\1:/", file) for file in rows.inputFiles())
+    path, opened = F.col("_metadata.file_path"), 1
+    while files:
+        some, files = files[:opened], files[opened:]
+        found = rows.where(path.between(some[0], some[-1])).select(path.alias("path")).groupBy("path").agg(F.count(F.lit(1)))
+        held = [r.path for r in found.collect()]
+        if held:
+            return min(held)
+        opened *= 4
+    return None
+
+
+def first_record(
+    spark: SparkSession,
+    path: str | list[str],
+    fmt: str = "parquet",
+    schema: T.StructType | str | None = None,
+    **options: str,
+) -> DataFrame:
+    """The first row of a dataset, or none from one without rows: the same as ``first_row(scan(...))``.
+
+    The file it stands in is chosen first (``first_file``), and the plan reads no other. Text formats
+    should be given a ``schema``, as inferring one reads everything.
+    """
+    reader = spark.read.format(fmt).options(**options)
+    if schema is not None:
+        reader = reader.schema(schema)
+    rows = reader.load(_current(spark, path))
+    file = first_file(rows)
+    if file is None:
+        return rows.limit(0)
+    rows = rows.where(F.col("_metadata.file_path") == file)
+    if fmt == "parquet":
+        return rows.where(F.col("_metadata.row_index") == 0)
+    start, place = F.col("_metadata.file_block_start"), F.monotonically_increasing_id()
+    return rows.select("*", start.alias(PART), place.alias(POS)).orderBy(PART, POS).limit(1).drop(PART, POS)
 
 
 def load_named_splits(
@@ -269,7 +344,7 @@ def load_named_splits(
     Only the folders of the wanted splits are listed and read; one without rows is simply empty.
     """
     names = names or {"train": "train", "val": "validation"}
-    df = spark.read.schema(SPLIT_SCHEMA).format(fmt).load(folder).where(F.col("split").isin(*names))
+    df = spark.read.schema(SPLIT_SCHEMA).format(fmt).load(current(spark, folder)).where(F.col("split").isin(*names))
     renamed = [F.when(F.col("split") == old, F.lit(new)) for old, new in names.items()]
     return df.withColumn("split", F.coalesce(*renamed))
 

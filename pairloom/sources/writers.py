@@ -11,24 +11,32 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from pairloom.session import delete_folder, path_exists, replace_folder
 from pairloom.sources.readers import ARRAY_HEAD, ARRAY_SEPARATOR, ARRAY_TAIL
+from pairloom.sources.versions import commit, current, entry, new_version
 
 SPLITS = ("train", "val", "test")
 
 
-def write_raw(df: DataFrame, path: str, fmt: str = "json") -> int:
+def write_raw(df: DataFrame, path: str, fmt: str = "json", versioned: bool = False) -> int:
     """Overwrites ``path`` and returns the number of rows, counted by the writing job itself.
 
     The rows go to a new folder beside it, which takes its place when all are written: a write that
     fails leaves what was there. JSON comes out as lines, with non-ASCII characters as they are and null fields kept.
+
+    ``versioned`` makes the change all at once (``versions``), where a plain folder is absent between two renames.
+    Such a table is read by the functions of this library, or from ``versions.current(spark, path)``.
     """
     seen = Observation()
-    spark, beside = df.sparkSession, f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
+    spark, path = df.sparkSession, path.rstrip("/")
+    beside = new_version(path) if versioned else f"{path}.new-{uuid.uuid4().hex}"
     writer = df.observe(seen, F.count(F.lit(1)).alias("n")).write
     if fmt == "json":
         writer = writer.option("ignoreNullFields", False)
     try:
         writer.format(fmt).save(beside)
-        replace_folder(spark, beside, path.rstrip("/"))
+        if versioned:
+            commit(spark, path, beside, rows=seen.get["n"], format=fmt)
+        else:
+            replace_folder(spark, beside, path)
     except Exception:
         delete_folder(spark, beside)
         raise
@@ -71,20 +79,28 @@ def write_json_texts(records: DataFrame, path: str, indented: bool = False) -> N
     (writer if indented else writer.option("lineSep", " ")).text(path)
 
 
-def write_splits(df: DataFrame, folder: str, fmt: str = "parquet") -> None:
-    """Overwrites ``folder`` with one subfolder per split.
+def write_splits(df: DataFrame, folder: str, fmt: str = "parquet", versioned: bool = False) -> None:
+    """Overwrites ``folder`` with one subfolder per split; ``versioned`` as in ``write_raw``.
 
     Rows are written where they are. After ``assign_split`` a task holds one stretch of
     ``split_pos``, so it writes one file (two or three at a boundary between splits) in that
     order, and the row range of every file is known from its statistics.
     """
+    target = new_version(folder) if versioned else folder
     writer = df.write.mode("overwrite").partitionBy("split")
     if fmt == "json":
         writer = writer.option("ignoreNullFields", False)
-    # With one open file per split Spark need not sort the rows by split first, which would be a
-    # second sort of whole rows. Beyond this many splits it goes back to sorting.
-    with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "8"):
-        writer.format(fmt).save(folder)
+    try:
+        # With one open file per split Spark need not sort the rows by split first, which would be a
+        # second sort of whole rows. Beyond this many splits it goes back to sorting.
+        with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "8"):
+            writer.format(fmt).save(target)
+        if versioned:
+            commit(df.sparkSession, folder, target, format=fmt)
+    except Exception:
+        if versioned:
+            delete_folder(df.sparkSession, target)
+        raise
 
 
 @contextmanager
@@ -98,11 +114,11 @@ def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
 
 
 def materialise_if_absent(
-    spark: SparkSession, folder: str, build: Callable[[], DataFrame], fmt: str = "parquet"
+    spark: SparkSession, folder: str, build: Callable[[], DataFrame], fmt: str = "parquet", versioned: bool = False
 ) -> str:
     """Writes the splits that ``build`` returns, unless a finished write is already there."""
-    if not path_exists(spark, f"{folder}/_SUCCESS"):
-        write_splits(build(), folder, fmt)
+    if entry(spark, folder) is None and not path_exists(spark, f"{folder}/_SUCCESS"):
+        write_splits(build(), folder, fmt, versioned)
     return folder
 
 
@@ -114,6 +130,7 @@ def split_file_report(
     The binary source is asked for path and length only, so no file is opened.
     """
     split = F.regexp_extract("path", r"/split=([^/]+)/", 1)
+    folder = current(spark, folder)
     if path_exists(spark, folder):
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     else:
