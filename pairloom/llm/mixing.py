@@ -2,28 +2,34 @@
 
 Every source gets a target number of words: its weight's share of all words, at most ``most`` times
 its own, the excess going to the others by weight. Of all rates at which documents could be
-repeated, those are sought that meet the targets and stay closest, in relative entropy over words,
-to taking each document once. They are exponentially tilted: ``rate = exp(multiplier of the source)``.
-The multipliers maximise the convex dual, one per source, and are found by Newton's method, all
-sources at once, on sums that one pass over the documents makes. Rates are then rounded to copies:
-every document gets the whole part, and the documents that come first in hash order one more, until
-the source's target is reached as closely as whole documents allow.
+repeated, none above ``most``, those are sought that meet the targets and stay closest, in relative entropy over
+documents, to taking each document once. They are exponentially tilted: ``rate = min(most, exp(multiplier * size))``
+with one multiplier for each source, so what a source lacks or has too much of is made up by long documents
+first. The multipliers maximise the convex dual; Newton's method finds them, all sources at once, each step on sums
+over the documents (gathered by source and size first, as equal sizes have equal rates), kept within the bounds that
+earlier steps have proved. Rates are then rounded to copies: every document gets the whole part, and of each size, from
+the longest to the shortest, as many get a further copy as bring the source's words closest to what the rates ask
+for. Of documents of one size those that come first in hash order get it.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F, types as T, Window
 
-from pairloom.llm.common import ranked, row_hash, ship, stored
+from pairloom.llm.common import fresh, ranked, row_hash, ship, stored
 from pairloom.llm.quality import words_of
 
 ship(__name__)
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
-NEWTON_STEPS = 64
+NEWTON_STEPS = 200
+EXACT = 1e-11  # share of the target by which a source's words may miss it before rounding
 SLACK = 1e-9
 BUCKET_DIGITS = 3  # hexadecimal digits of the hash that name a bucket
 
@@ -58,19 +64,62 @@ def source_targets(
     return weighted.withColumn("target", target).drop("_rank", "_weight")
 
 
-def tilt(size: Column, target: Column, steps: int = NEWTON_STEPS) -> Column:
-    """The dual's multiplier: Newton steps from 0 towards ``size * exp(multiplier) = target``.
+def tilts(sizes: DataFrame, sources: DataFrame, most: int = MOST, steps: int = NEWTON_STEPS) -> DataFrame:
+    """``source, source_size, target, mean, tilt``: the multipliers, of sizes in units of the source's mean.
 
-    The gradient is the surplus of words under the present rates, the Hessian those words.
+    ``sizes`` has ``source, size, n``. The gradient of the dual is the surplus of words under the present rates, the
+    Hessian the words of documents below the limit times their size. A step that would leave the bounds known so far
+    goes to their middle. Sources that are to be taken whole ``most`` times have a tilt of null, as do those
+    without words. If a source has not come to its target after ``steps`` steps, that is an error.
     """
-    ratio = target / size
+    n, size = F.col("n"), F.col("size")
+    means = sizes.groupBy("source").agg((F.sum(n * size) / F.sum(F.when(size > 0, n))).alias("mean")).withColumnRenamed("source", "_s")
+    known = sources.join(means, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+    full = (F.col("source_size") <= 0) | (F.col("target") >= most * F.col("source_size") * (1 - EXACT))
+    none = F.lit(None).cast("double")
+    state = known.select("source", "source_size", "target", "mean", F.when(~full, 0.0).alias("tilt"), none.alias("low"), none.alias("high"), full.alias("done"))
+    state = stored(state, "tilts")
+    for _ in range(steps):
+        if state.where("NOT done").head() is None:
+            return state.select("source", "source_size", "target", "mean", "tilt")
+        now = state.where("NOT done").select(F.col("source").alias("_s"), "tilt", "mean")
+        grown = F.exp(F.col("tilt") * size / F.col("mean"))
+        below = grown < most
+        sums = sizes.join(now, F.col("source").eqNullSafe(F.col("_s"))).groupBy("_s").agg(
+            F.sum(n * size * F.least(grown, F.lit(float(most)))).alias("words"),
+            F.sum(F.when(below, n * size * size * grown / F.col("mean")).otherwise(0.0)).alias("curve"),
+        )
+        surplus = F.col("words") - F.col("target")
+        step = state.join(sums, F.col("source").eqNullSafe(F.col("_s")), "left").drop("_s")
+        step = step.withColumn("low", F.when(surplus < 0, F.col("tilt")).otherwise(F.col("low"))).withColumn("high", F.when(surplus > 0, F.col("tilt")).otherwise(F.col("high")))
+        newton = F.col("tilt") - surplus / F.when(F.col("curve") > 0, F.col("curve"))
+        outside = newton.isNull() | (newton <= F.col("low")) | (newton >= F.col("high"))
+        middle = F.coalesce((F.col("low") + F.col("high")) / 2, F.col("high") - 1, F.col("low") + 1)
+        met = F.abs(surplus) <= EXACT * F.col("target")
+        moved = F.when(F.coalesce(outside, F.lit(False)), middle).otherwise(newton)
+        state = stored(
+            step.select("source", "source_size", "target", "mean", F.when(F.col("done") | met, F.col("tilt")).otherwise(moved).alias("tilt"), "low", "high", (F.col("done") | F.coalesce(met, F.lit(False))).alias("done")),
+            "tilts",
+        )
+    raise ArithmeticError(f"a source's words do not come to its target within {steps} steps")
 
-    def step(now: Column, _: Column) -> Column:
-        # From above the steps would be up to 1 each way; the dual is convex, so this converges.
-        return now - 1 + ratio * F.exp(-now)
 
-    start = F.greatest(F.lit(0.0), F.lit(0.0) * size)
-    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, step)
+def _rounded(sizes: pa.Table) -> pa.Table:
+    """Adds to each size of a source the whole part of its rate, and how many documents get a further copy.
+
+    From the longest documents to the shortest, each size takes as many as bring the words so far closest to
+    those that the rates ask for, so that shorter ones make up for what the longer ones miss.
+    """
+    size, n, rate = (sizes.column(c).to_numpy().astype(float) for c in ("size", "n", "rate"))
+    whole = np.floor(rate + SLACK)
+    share = np.where((rate - whole > SLACK) & (size > 0), rate - whole, 0.0) * n
+    due, carry = np.zeros(len(size), np.int64), 0.0
+    for k in np.argsort(-size, kind="stable"):
+        if size[k] > 0:
+            carry += share[k] * size[k]
+            due[k] = min(max(math.floor(carry / size[k] + 0.5), 0), n[k]) if share[k] > 0 else 0
+            carry -= due[k] * size[k]
+    return sizes.append_column("whole", pa.array(whole.astype(np.int64))).append_column("due", pa.array(due))
 
 
 def mix(
@@ -82,74 +131,52 @@ def mix(
     most: int = MOST,
     carry: bool = False,
 ) -> DataFrame:
-    """``doc_id, source, size, source_size, target, copies`` of every document, and with ``carry`` its ``row``.
+    """``doc_id, source, size, source_size, target, rate, copies`` of every document, and with ``carry`` its ``row``.
 
     Size is in words; a null text has none. A null source is a source of its own. Repeated rows are
-    documents of their own. An empty table gives an empty result, and a source without words no
-    copies. The order in which documents get a further copy depends on ids and sizes only, so reruns
-    agree; ids that repeat are ordered by size. With ``carry`` the whole row is a struct that goes along,
-    rows without an id are ordered by their content, and content decides between equal ids and sizes.
+    documents of their own. An empty table gives an empty result; documents without words are taken once, in
+    a source without words not at all. Which documents get a further copy depends on ids and sizes only, so reruns
+    agree; of documents of equal id and size all or none get it. With ``carry`` the whole row is a struct that
+    goes along, and rows without an id are ordered by their content.
     """
+    words, order = fresh(docs, "_words", "_order")
     whole_row = [F.struct(*[F.col(c) for c in docs.columns]).alias("row")] if carry else []
     unnamed = F.hex(row_hash(*docs.columns)) if carry else F.lit("")
-    order = F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), unnamed), F.lit("|"), F.size("_words").cast("string")))
-    sized = (
-        docs.withColumn("_words", words_of(F.coalesce(text, F.lit(""))))
-        .select(
-            F.col(doc_id).alias("doc_id"),
-            F.col(source).alias("source"),
-            F.size("_words").cast("long").alias("size"),
-            order.alias("_order"),
-            *whole_row,
-        )
-        .withColumn("_bucket", F.conv(F.left("_order", F.lit(BUCKET_DIGITS)), 16, 10).cast("int"))
+    drawn = F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), unnamed), F.lit("|"), F.size(words).cast("string")))
+    sized = docs.select("*", words_of(F.coalesce(text, F.lit(""))).alias(words)).select(
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("source"), F.size(words).cast("long").alias("size"), drawn.alias(order), *whole_row
     )
     sized = stored(sized, "sizes")
+    narrow = sized.select("source", "size", F.col(order).alias("place"), F.conv(F.left(order, F.lit(BUCKET_DIGITS)), 16, 10).cast("int").alias("bucket"))
 
-    in_bucket = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("_words"))
-    in_bucket = stored(in_bucket, "buckets")
-    sources = source_targets(
-        in_bucket.groupBy("source").agg(F.sum("_words").alias("source_size")),
-        "source", "source_size", weights, most,
+    # Rows by source, size and bucket; everything but the cuts is decided on these counts.
+    counts = stored(narrow.groupBy("source", "size", "bucket").agg(F.count(F.lit(1)).alias("n")), "counts")
+    sizes = stored(counts.groupBy("source", "size").agg(F.sum("n").alias("n")), "sizes-by-source")
+    of_source = sizes.groupBy("source").agg(F.sum(F.col("n") * F.col("size")).alias("source_size"))
+    tilted = tilts(sizes, source_targets(of_source, "source", "source_size", weights, most), most)
+    tilted = tilted.withColumnRenamed("source", "_s")
+    grown = F.least(F.exp(F.col("tilt") * F.col("size") / F.col("mean")), F.lit(float(most)))
+    full = F.when(F.col("source_size") > 0, F.when(F.col("size") > 0, float(most)).otherwise(1.0)).otherwise(0.0)
+    rated = sizes.join(tilted, F.col("source").eqNullSafe(F.col("_s"))).select(
+        "source", "size", "n", "source_size", "target", F.coalesce(grown, full).alias("rate")
     )
-    positive = (F.col("source_size") > 0) & (F.col("target") > 0)
-    rate = F.when(positive, F.exp(tilt(F.col("source_size"), F.col("target")))).otherwise(0.0)
-    whole = F.floor(rate + SLACK)
-    sources = stored(
-        sources.withColumn("_rate", rate)
-        .withColumn("_whole", whole)
-        # Words that the further copies are to add.
-        .withColumn("_need", F.col("target") - F.col("_whole") * F.col("source_size")),
-        "rates",
-    )
-    # The bucket in which the need is reached; earlier ones get a further copy, later ones none.
-    before = Window.partitionBy("source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    upto = (
-        in_bucket.withColumn("_before", F.coalesce(F.sum("_words").over(before), F.lit(0)))
-        .join(sources.select(F.col("source").alias("_s"), "_need"), F.col("source").eqNullSafe(F.col("_s")))
-        .where((F.col("_before") < F.col("_need")) & (F.col("_before") + F.col("_words") >= F.col("_need")))
-        .groupBy("source")
-        .agg(F.min_by("_before", "_bucket").alias("_before"), F.min("_bucket").alias("_edge"))
-    )
-    plan = sources.join(
-        upto.select(F.col("source").alias("_u"), "_before", "_edge"),
-        F.col("source").eqNullSafe(F.col("_u")), "left",
-    ).select(
-        F.col("source").alias("_of"), "source_size", "target", "_whole", "_need", "_before",
-        # Without an edge either nothing is needed or, by rounding, all there is.
-        F.coalesce("_edge", F.when(F.col("_need") > 0, 1 << 30).otherwise(-1)).alias("_edge"),
-    )
-    joined = sized.join(stored(plan, "plan"), F.col("source").eqNullSafe(F.col("_of")))
-    at_edge = F.col("_bucket") == F.col("_edge")
-    earlier = Window.partitionBy("source", "_bucket").orderBy("_order", "size", *([F.xxhash64("row")] if carry else [])).rowsBetween(Window.unboundedPreceding, -1)
-    edge = joined.where(at_edge).withColumn(
-        "_more",
-        (F.col("_before") + F.coalesce(F.sum("size").over(earlier), F.lit(0)) + F.col("size") / 2 < F.col("_need")).cast("long"),
-    )
-    rest = joined.where(~at_edge).withColumn("_more", (F.col("_bucket") < F.col("_edge")).cast("long"))
-    return rest.unionByName(edge).select(
-        "doc_id", "source", "size", "source_size", "target",
-        (F.col("_whole") + F.col("_more")).cast("long").alias("copies"), *(["row"] if carry else []),
+    rated = stored(rated, "rates")
+    rated = stored(rated.groupBy("source").applyInArrow(_rounded, T.StructType([*rated.schema.fields, T.StructField("whole", T.LongType()), T.StructField("due", T.LongType())])), "rounded")
+
+    # Where in hash order the last of them stands: its bucket by the counts, then its place within the bucket.
+    upto = Window.partitionBy("source", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    passed = counts.withColumn("passed", F.coalesce(F.sum("n").over(upto), F.lit(0))).alias("c")
+    wanted = rated.where("due > 0").select("source", "size", "due").alias("w")
+    edges = passed.join(wanted, F.expr("c.source <=> w.source AND c.size = w.size AND passed < due AND passed + n >= due"))
+    edges = stored(edges.select("c.source", "c.size", "bucket", (F.col("due") - F.col("passed")).alias("left")), "edges").alias("e")
+    place = F.row_number().over(Window.partitionBy("d.source", "d.size", "d.bucket").orderBy("place"))
+    at_edge = narrow.alias("d").join(edges, F.expr("d.source <=> e.source AND d.size = e.size AND d.bucket = e.bucket"))
+    cuts = at_edge.withColumn("number", place).where("number = left").select("d.source", "d.size", F.col("place").alias("cut"))
+    plan = rated.alias("r").join(cuts.alias("k"), F.expr("r.source <=> k.source AND r.size = k.size"), "left")
+    plan = stored(plan.select(F.col("r.source").alias("_s"), F.col("r.size").alias("_z"), "source_size", "target", "rate", "whole", "cut"), "plan")
+    more = (F.col("cut").isNotNull() & (F.col(order) <= F.col("cut"))).cast("long")
+    return sized.join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("size") == F.col("_z"))).select(
+        "doc_id", "source", "size", "source_size", "target", "rate", (F.col("whole") + more).cast("long").alias("copies"), *(["row"] if carry else [])
     )
 
 
@@ -166,9 +193,9 @@ def apply_mix(docs: DataFrame) -> DataFrame:
     return mix(docs, carry=True).where("copies > 0").select("row", copies).select("row.*")
 
 
-# The same results in DuckDB: the level from sorted limits, and rates as quotients.
+# The same results in DuckDB: the level from sorted limits, the tilts by Newton steps of its own.
 ORACLE_SQL = r"""
-WITH sized AS (
+WITH RECURSIVE sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size
   FROM documents),
 o AS (SELECT *, md5(coalesce(doc_id::VARCHAR, '') || '|' || size) AS ord FROM sized),
@@ -184,14 +211,47 @@ l AS (
   SELECT (total - fixed)::DOUBLE / free AS level FROM c
   WHERE 3 * source_size >= weight * ((total - fixed)::DOUBLE / free)
   ORDER BY 3.0::DOUBLE * source_size / weight, source LIMIT 1),
-t AS (SELECT source, source_size, least((3 * source_size)::DOUBLE, weight * level) AS target FROM c, l),
+h AS (SELECT source, size, count(*) AS n FROM sized GROUP BY ALL),
+m AS (SELECT source, sum(n * size)::DOUBLE / sum(n) AS mean FROM h WHERE size > 0 GROUP BY source),
+t AS (
+  SELECT w.source, source_size, least((3 * source_size)::DOUBLE, weight * level) AS target, mean
+  FROM w CROSS JOIN l LEFT JOIN m ON m.source IS NOT DISTINCT FROM w.source),
+newton AS (
+  SELECT 0 AS step, source, target, mean, 0::DOUBLE AS tilt, NULL::DOUBLE AS low, NULL::DOUBLE AS high
+  FROM t WHERE source_size > 0 AND target < 3 * source_size * (1 - 1e-11::DOUBLE)
+  UNION ALL
+  SELECT step + 1, source, target, mean,
+    CASE WHEN abs(surplus) <= 1e-11 * target THEN tilt
+         WHEN next IS NULL OR next <= lo OR next >= hi THEN coalesce((lo + hi) / 2, hi - 1, lo + 1) ELSE next END, lo, hi
+  FROM (SELECT *, tilt - surplus / nullif(curve, 0) AS next,
+          CASE WHEN surplus < 0 THEN tilt ELSE low END AS lo, CASE WHEN surplus > 0 THEN tilt ELSE high END AS hi
+        FROM (SELECT step, k.source, target, mean, tilt, low, high,
+                sum(n * size * least(exp(tilt * size / mean), 3.0::DOUBLE)) - target AS surplus,
+                sum(CASE WHEN exp(tilt * size / mean) < 3 THEN n * size * size * exp(tilt * size / mean) / mean ELSE 0 END) AS curve
+              FROM newton k JOIN h ON h.source IS NOT DISTINCT FROM k.source
+              WHERE step < 60 GROUP BY step, k.source, target, mean, tilt, low, high))),
 r AS (
-  SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size + 1e-9) ELSE 0 END AS whole FROM t),
+  SELECT h.source, h.size, h.n, t.source_size, t.target,
+    coalesce(least(exp(k.tilt * h.size / k.mean), 3.0::DOUBLE), CASE WHEN t.source_size = 0 THEN 0 WHEN h.size > 0 THEN 3 ELSE 1 END) AS rate
+  FROM h JOIN t ON h.source IS NOT DISTINCT FROM t.source
+  LEFT JOIN (SELECT * FROM newton WHERE step = 60) k ON k.source IS NOT DISTINCT FROM h.source),
+f AS (
+  SELECT *, floor(rate + 1e-9) AS whole,
+    CASE WHEN size > 0 AND rate - floor(rate + 1e-9) > 1e-9 THEN rate - floor(rate + 1e-9) ELSE 0 END * n AS share FROM r),
+p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size DESC) AS k FROM f WHERE size > 0),
+fold AS (
+  SELECT 0 AS k, source, 0::DOUBLE AS carry, 0::DOUBLE AS due FROM t
+  UNION ALL
+  SELECT k, source, asked - size * due, due
+  FROM (SELECT p.k, p.source, p.size, carry + share * p.size AS asked,
+          CASE WHEN share > 0 THEN least(greatest(floor((carry + share * p.size) / p.size + 0.5), 0), p.n) ELSE 0 END AS due
+        FROM fold JOIN p ON p.source IS NOT DISTINCT FROM fold.source AND p.k = fold.k + 1)),
 d AS (
-  SELECT o.doc_id, o.size, r.source_size, r.target, r.whole, r.target - r.whole * r.source_size AS need,
-    coalesce(sum(o.size) OVER (PARTITION BY o.source ORDER BY ord, o.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM o JOIN r ON o.source IS NOT DISTINCT FROM r.source)
-SELECT doc_id, size, source_size, target,
-  (size * (whole + CASE WHEN need > 0 AND before + size / 2.0::DOUBLE < need THEN 1 ELSE 0 END))::BIGINT AS taken
+  SELECT o.doc_id, o.size, f.source_size, f.target, f.whole, coalesce(fold.due, 0) AS due,
+    row_number() OVER (PARTITION BY o.source, o.size ORDER BY ord) AS place
+  FROM o JOIN f ON o.source IS NOT DISTINCT FROM f.source AND o.size = f.size
+  LEFT JOIN p ON p.source IS NOT DISTINCT FROM o.source AND p.size = o.size
+  LEFT JOIN fold ON fold.source IS NOT DISTINCT FROM p.source AND fold.k = p.k)
+SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN place <= due THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d
 """

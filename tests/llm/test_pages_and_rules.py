@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import Counter
@@ -129,9 +130,56 @@ def test_mix_of_nothing(spark):
     assert [r.taken for r in mixing.report(empty).collect()] == [0, 0, 0]
 
 
-def test_newton_reaches_the_target(spark):
-    rows = [(s, s * r) for s in (1.0, 1e12) for r in (3.0, 1.0, 0.5, 1e-6)]
-    frame = spark.createDataFrame(rows, "size double, target double")
-    solved = frame.select("target", (F.col("size") * F.exp(mixing.tilt(F.col("size"), F.col("target")))).alias("got"))
-    for r in solved.collect():
-        assert r.got == pytest.approx(r.target, rel=1e-9)
+def words_at(tilt, mean, sizes):
+    return sum(n * min(3.0, math.exp(min(50.0, tilt * z / mean))) * z for z, n in sizes)
+
+
+def test_tilts_solve_the_dual(spark):
+    """The multipliers against bisection, from targets near nothing to near three times the source."""
+    draw, rows, targets = random.Random(8), [], {}
+    for k, share in enumerate((1e-6, 0.2, 0.999, 1.0, 1.7, 2.9, 2.999999, 3.0)):
+        sizes = {z: draw.randrange(1, 50) for z in (0, 1, 5, 40, 300, 20_000)}
+        rows += [(f"s{k}", z, n) for z, n in sizes.items()]
+        targets[f"s{k}"] = (sum(z * n for z, n in sizes.items()), share, [(z, n) for z, n in sizes.items() if z])
+    frame = spark.createDataFrame(rows, "source string, size long, n long")
+    sources = spark.createDataFrame([(s, total, total * share) for s, (total, share, _) in targets.items()] + [(None, 0, 0.0)], "source string, source_size long, target double")
+    for r in mixing.tilts(frame, sources).collect():
+        if r.source is None or targets[r.source][1] == 3.0:
+            assert r.tilt is None
+            continue
+        total, share, sizes = targets[r.source]
+        assert r.mean == pytest.approx(total / sum(n for _, n in sizes))
+        assert words_at(r.tilt, r.mean, sizes) == pytest.approx(total * share, rel=1e-9)
+    with pytest.raises(ArithmeticError):
+        mixing.tilts(frame, sources, steps=1)
+
+
+def test_rates_differ_by_size_and_come_to_the_target(spark):
+    draw = random.Random(5)
+    rows = [(k, "w " * draw.choice([1, 2, 7, 30, 200, 900]), draw.choice("aabcde"), k % 3) for k in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, _words int")
+    found = mixing.mix(docs).collect()
+    for source in "abcde":
+        own = [r for r in found if r.source == source]
+        rate = {r["size"]: r.rate for r in own}
+        assert sum(r.rate * r["size"] for r in own) == pytest.approx(own[0].target)
+        if own[0].target < 2.9 * own[0].source_size:
+            # An exponential tilt: the logarithm of the rate is in proportion to the size.
+            free = [(z, math.log(x)) for z, x in rate.items() if x < 3]
+            assert len(free) > 2 and len({round(x / z, 9) for z, x in free}) == 1
+            assert own[0].target == pytest.approx(own[0].source_size) or len(set(rate.values())) > 2
+        assert abs(sum(r.copies * r["size"] for r in own) - own[0].target) <= 450
+        assert all(abs(r.copies - r.rate) < 1 for r in own)
+    taken = mixing.apply_mix(docs)
+    assert taken.columns == docs.columns
+    counts = Counter(r.doc_id for r in taken.collect())
+    assert counts == {r.doc_id: r.copies for r in found if r.copies}
+    assert {(r.doc_id, r._words) for r in taken.collect()} <= {(k, w) for k, _, _, w in rows}
+
+
+def test_one_size_and_repeated_rows(spark):
+    """All documents alike but for their ids, and a third of all rows the same."""
+    rows = [(k if k % 3 else 7, "one two three", "ab"[k % 2]) for k in range(900)]
+    found = mixing.report(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert len(found) == 900 and all(r.taken in (0, 3, 6, 9) for r in found)
+    assert len({r.taken for r in found if r.doc_id == 7}) <= 2
