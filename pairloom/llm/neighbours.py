@@ -11,8 +11,8 @@ a time, until the prefixes it shares have enough strings under them; on the last
 tree until they are enough. How many are enough grows with the number of classes, ``CANDIDATES * n **
 GROWTH``: on vectors without structure a fixed number would find ever less. Where as many as there are
 would be wanted, the root is, and the search is exact. Strings are counted by prefix and looked up by prefix; the strings
-under one prefix are dealt out in blocks, and each block is compared with its queries by one matrix
-product.
+under one prefix, and the queries that look there, are dealt out in blocks, and a block of either is compared by
+one matrix product, of which each query keeps its nearest only, however many tie.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ SYMBOLS = 3  # length of a hash string
 CORNERS = 64  # axes of the cross-polytope; each gives two symbols
 CANDIDATES = 2.4
 GROWTH = 0.83
-BLOCK = 4096  # strings under a prefix that are compared together
+BLOCK = 4096  # strings under a prefix, and queries, that are compared together
 NEAREST = 20
 
 
@@ -170,38 +170,48 @@ def nearest(vectors: DataFrame, is_query, vec_id: str = "vec_id", vector: str =
     visits = stored(visits.drop("others").join(root.select("class"), "class", "left_anti").unionByName(root), "visited")
 
     key = ["size", "tree", "depth", "prefix"]
+    visited = visits.groupBy(*key).agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("q"))
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    visited = visits.groupBy(*key).agg(F.max("n").alias("n"))
     under = strings.where("NOT asks").select("class", "size", "tree", F.explode(F.sequence(F.lit(1), F.lit(SYMBOLS))).alias("depth"), "string")
     under = under.select("class", "size", "tree", "depth", F.expr("substring(string, 1, depth)").alias("prefix"))
     everyone = classes.select("class", "size", F.lit(0).alias("tree"), F.lit(0).alias("depth"), F.lit(b"").alias("prefix"))
-    placed = under.unionByName(everyone).join(visited, key).withColumn("block", F.pmod(F.xxhash64("class"), blocks).cast("int"))
-    data = placed.select("class", *key, "block", F.lit(False).alias("asks"))
-    asked = visits.select("class", *key, F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block"), F.lit(True).alias("asks"))
-    dealt = data.unionByName(asked).join(classes.select("class", "packed"), "class")
+    # Both sides are dealt into blocks, and every block of queries meets every block of strings.
+    dealt_to = lambda n: F.pmod(F.xxhash64("class"), n).cast("int")
+    asking = F.ceil(F.col("q") / BLOCK).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    data = under.unionByName(everyone).join(visited, key).select("class", *key, dealt_to(blocks).alias("block"), every(asking).alias("queries"), F.lit(False).alias("asks"))
+    asked = visits.select("class", *key).join(visited, key).select("class", *key, every(blocks).alias("block"), dealt_to(asking).alias("queries"), F.lit(True).alias("asks"))
+    dealt = data.unionByName(asked).join(classes.select("class", "packed", F.get("members", F.lit(0)).alias("least")), "class")
 
     def compare(table: pa.Table) -> pa.Table:
         asks = np.array(table["asks"].to_pylist(), bool)
-        ids = table["class"].to_numpy()
+        ids, least = table["class"].to_numpy(), table["least"].to_numpy()
         out = ([], [], [])
         if asks.any() and not asks.all():
             matrix = _matrix(table["packed"])
             query, other = matrix[asks], matrix[~asks]
-            query_ids, other_ids = ids[asks], ids[~asks]
+            query_ids, other_ids, other_least = ids[asks], ids[~asks], least[~asks]
+            longest = np.sqrt((other * other).sum(axis=1)).max()
             for start in range(0, len(query), 256):
-                scores = query[start : start + 256] @ other.T
+                some = query[start : start + 256]
+                scores = some @ other.T
                 few = min(k + 1, scores.shape[1])
-                best = np.argpartition(-scores, few - 1, axis=1)[:, :few]
-                # Classes that tie with the last one stay as well.
-                last = np.take_along_axis(scores, best, axis=1).min(axis=1)
-                row, at = np.nonzero(scores >= last[:, None] - 1e-12)
-                exact = np.einsum("ij,ij->i", query[start : start + 256][row], other[at])
-                for side, values in zip(out, (query_ids[start : start + 256][row], other_ids[at], exact)):
+                last = -np.partition(-scores, few - 1, axis=1)[:, few - 1]
+                # Rounding of the product must not decide: what is as close as that is compared exactly, and
+                # of classes with equal scores those with the smallest ids stay.
+                slack = 1e-12 * np.sqrt((some * some).sum(axis=1)) * longest
+                row, at = np.nonzero(scores >= (last - slack)[:, None])
+                exact = np.einsum("ij,ij->i", some[row], other[at])
+                order = np.lexsort((other_least[at], -exact, row))
+                row, at, exact = row[order], at[order], exact[order]
+                place = np.arange(len(row)) - np.searchsorted(row, row)
+                kept = place < few
+                for side, values in zip(out, (query_ids[start : start + 256][row[kept]], other_ids[at[kept]], exact[kept])):
                     side.append(values)
         pick = lambda side, kind: pa.array(np.concatenate([*side, np.empty(0, kind)]).astype(kind))
         return pa.table({"query": pick(out[0], np.int64), "class": pick(out[1], np.int64), "score": pick(out[2], np.float64)})
 
-    found = dealt.groupBy(*key, "block").applyInArrow(compare, "query long, class long, score double")
+    found = dealt.groupBy(*key, "block", "queries").applyInArrow(compare, "query long, class long, score double")
     own = classes.where("asks").select(
         F.col("class").alias("query"), "class", F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x).alias("score")
     )
