@@ -15,12 +15,20 @@ Nodes are compared by the pigeonhole principle over a partition of the universe
 
 Nodes that share an index entry are candidates, but they are not paired with each other: each is compared
 with one centre of its entry, in exact arithmetic on whole sets. That links large groups of near copies in
-a star. Entries whose nodes are not all in one component after that are gone through again: first with
-one centre of each component, as long as that joins components, then with all nodes as centres, a block
-at a time, always against the nodes of other components, until every pair of an entry has been compared
-or is connected. Most pairs need not be compared in full: a set's sketch is the parity of its hashes in
+a star. Entries whose nodes are not all in one component after that are gone through again, in two phases:
+
+* Merging: each node outside of its entry's largest component is compared with one node of another component
+  there, the one whose sketch is closest, as long as that joins a good part of what is apart. Each round does
+  so in another of a node's entries. A family of copies that do not all link to one of them comes together in
+  a few such rounds, with one pair for a node in each.
+* Completing: every cross pair of an entry has a node outside of the entry's largest component. Those
+  nodes are taken in blocks and compared with all nodes of other components; they are finished then. An
+  entry is closed when one component holds it or all nodes outside the largest are finished.
+
+Most pairs need not be compared in full: a set's sketch is the parity of its hashes in
 each of 1,024 slots, and sets differ in at least as many shingles as their sketches do in slots. Pairs of
-which that is too many, or whose sizes are too far apart, are ruled out in the join itself. Entries are combined within a task before they are shuffled, so a frequent entry is
+which that is too many, or whose sizes are too far apart, are ruled out before. Whole sets are read from the
+texts when their node is first compared. Entries are combined within a task before they are shuffled, so a frequent entry is
 one row per task.
 """
 
@@ -45,7 +53,10 @@ WIDTH = 4  # words in a shingle
 PERCENT = 85  # intersection at least this share of the union
 BAND = 1.2  # sizes of a band differ by less than this factor
 SEGMENTS_PER_SKIP = 48
-CENTRES = 1024  # centres that an entry's nodes are compared with in a later round
+BLOCK = 2048  # nodes of an entry whose sketches are compared together
+WORTHWHILE = 16  # merging ends when two rounds find links for less than one in so many nodes that are apart
+FEW_PAIRS = 100_000  # pairs whose nodes are broadcast, 16 bytes for each
+CENTRES = 500  # nodes outside an entry's largest component that are completed at a time
 SAMPLE_DOCS = 2000
 FREQUENT_SHINGLES = 100_000
 FLUSH = 1_500_000  # index entries that a task combines at a time
@@ -361,8 +372,13 @@ def sets_of(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, width: i
     return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
-def links_among(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose whole sets are similar enough, compared exactly."""
+def links_among(pairs: DataFrame, sets: DataFrame, percent: int, n_pairs: int | None = None) -> DataFrame:
+    """The pairs ``a, b`` whose whole sets are similar enough, compared exactly.
+
+    Up to ``FEW_PAIRS`` pairs are broadcast first, by their number, so that no other sets are shuffled.
+    """
+    if n_pairs is not None and n_pairs <= FEW_PAIRS:
+        sets = sets.join(F.broadcast(_both(pairs).withColumnRenamed("short", "node")), "node", "left_semi")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -392,7 +408,7 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     the component's id is the smallest document id that links lead to, the own included. A null or
     empty text, or one of white space, has an empty set and links with nothing. Repeated rows and
     repeated ids link like any other documents; a null id never is the smallest, and a document with
-    a null id that links with nothing has a null component.
+    a null id that links with nothing has a null component. An empty table gives an empty result.
     """
     described = stored(describe(docs, doc_id, text, width), "described")
     nodes = (
@@ -404,51 +420,39 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     nodes = stored(nodes, "nodes")
     if nodes.groupBy("short").count().where("count > 1").head():
         raise RuntimeError("two different sets have digests with the same first eight bytes")
-    entries = stored(entries_shared(docs, text, percent, width), "entries")
     known = nodes.select("short", "n", *SKETCH_WORDS)
-    called = lambda prefix: known.select(*[F.col(c).alias(prefix + c) for c in known.columns])
+    entries = stored(entries_shared(docs, text, percent, width), "entries")
     pairs = entries.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
-    pairs = pairs.join(called("x_"), F.col("a") == F.col("x_short")).join(
-        called("y_"), (F.col("b") == F.col("y_short")) & may_link(percent, "x_", "y_")
-    )
-    pairs = stored(pairs.select("a", "b"), "pairs")
-    touched = pairs.select(F.col("a").alias("short")).union(pairs.select(F.col("b").alias("short"))).distinct()
-    sets = _sets_for(docs, doc_id, text, nodes, touched, width)
+    pairs = stored(_possible(pairs, known, percent), "pairs")
+    sets = _sets_for(docs, doc_id, text, nodes, _both(pairs), width)
     links = stored(links_among(pairs, sets, percent), "verified")
     found = stored(components(links), "components")
 
-    members = entries.select("entry", "node").union(entries.select("entry", F.col("centre").alias("node"))).distinct()
-    done, turn, merging = pairs, 0, True
+    active = entries.select("entry", "node").union(entries.select("entry", F.col("centre").alias("node"))).distinct()
+    active = active.withColumn("finished", F.lit(False))
+    done, merging, poor, turn = pairs, True, 0, 0
     while True:
-        of = members.join(found, "node", "left").select("entry", "node", F.coalesce("component", "node").alias("component"))
-        open_ = of.groupBy("entry").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n")).where("x <> y")
-        # Entries that still hold nodes of several components, and have centres left.
-        open_ = open_.where(F.col("n") > turn * CENTRES).select("entry")
-        active = stored(of.join(open_, "entry"), "open-entries")
-        if not active.head():
+        active, apart = _still_open(active, found)
+        if not apart:
             break
-        # First one centre per component, as long as that joins components; then all nodes, in blocks.
-        pool = active.groupBy("entry", "component").agg(F.min("node").alias("node")) if merging else active
-        block = 0 if merging else turn
-        rank = F.row_number().over(Window.partitionBy("entry").orderBy("node"))
-        centres = pool.withColumn("rank", rank).where(F.col("rank") <= (block + 1) * CENTRES).where(F.col("rank") > block * CENTRES)
-        centres = centres.join(called("y_"), F.col("node") == F.col("y_short"))
-        centres = centres.select("entry", "component", *[f"y_{c}" for c in known.columns])
-        nearby = active.join(called("x_"), F.col("node") == F.col("x_short")).alias("m").join(
-            centres.alias("c"),
-            (F.col("m.entry") == F.col("c.entry")) & (F.col("m.component") != F.col("c.component")) & may_link(percent, "x_", "y_"),
-        )
-        new = nearby.select(F.greatest("x_short", "y_short").alias("a"), F.least("x_short", "y_short").alias("b")).distinct()
-        new = stored(new.join(done, ["a", "b"], "left_anti"), "pairs")
-        touched = new.select(F.col("a").alias("short")).union(new.select(F.col("b").alias("short"))).distinct()
-        more = stored(links_among(new, _sets_for(docs, doc_id, text, nodes, touched, width), percent), "verified") if new.head() else new
-        done, links = done.unionByName(new), links.unionByName(more)
-        joined = more.head() is not None
-        if joined:
-            found = stored(components(links), "components")
-        if not merging:
-            turn += 1
-        merging = merging and joined
+        if merging:
+            new = _merging_pairs(active, known, percent, turn).join(done, ["a", "b"], "left_anti")
+        else:
+            new, active = _completing_pairs(active, known, percent)
+            new = new.join(done, ["a", "b"], "left_anti")
+        new = stored(new, "pairs")
+        n_pairs, n_links = new.count(), 0
+        if n_pairs:
+            # Sets are read from the texts once, when their node is first compared.
+            missing = stored(_both(new).join(sets.select(F.col("node").alias("short")), "short", "left_anti"), "missing")
+            if missing.head():
+                sets = sets.unionByName(_sets_for(docs, doc_id, text, nodes, missing, width))
+            more = stored(links_among(new, sets, percent, n_pairs), "verified")
+            done, n_links = done.unionByName(new), more.count()
+        if n_links:
+            found = _regrouped(found, more)
+        poor = poor + 1 if n_links * WORTHWHILE < apart else 0
+        merging, turn = merging and poor < 2, turn + 1
     grouped = nodes.join(found.withColumnRenamed("node", "short"), "short", "left").select(
         "node", "doc_id", F.coalesce("component", "short").alias("component")
     )
@@ -459,6 +463,105 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     )
 
 
+def _both(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("short")).union(pairs.select(F.col("b").alias("short"))).distinct()
+
+
+def _possible(pairs: DataFrame, known: DataFrame, percent: int) -> DataFrame:
+    """The pairs that sizes and sketches do not rule out."""
+    called = lambda prefix: known.select(*[F.col(c).alias(prefix + c) for c in known.columns])
+    return pairs.join(called("x_"), F.col("a") == F.col("x_short")).join(
+        called("y_"), (F.col("b") == F.col("y_short")) & may_link(percent, "x_", "y_")
+    ).select("a", "b")
+
+
+def _still_open(active: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
+    """Rows of the entries that are not closed, with ``component`` and the entry's largest as ``main``, and
+    how many nodes there are outside of it and not finished."""
+    of = active.select("entry", "node", "finished").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    groups = of.groupBy("entry", "component").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("finished")).alias("open"))
+    main = groups.groupBy("entry").agg(
+        F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("open").alias("open"), F.max_by("open", F.struct("n", "component")).alias("inside"), F.count(F.lit(1)).alias("parts")
+    )
+    main = main.where((F.col("parts") > 1) & (F.col("open") > F.col("inside"))).select("entry", "main")
+    still = stored(of.join(main, "entry"), "open-entries")
+    return still, still.where("component <> main AND NOT finished").select("node").distinct().count()
+
+
+def _merging_pairs(active: DataFrame, known: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Each open node outside its entry's largest component, in one of its entries, with the node of another
+    component there whose sketch is closest, if sizes and sketches allow a link.
+
+    Nodes that share entries choose the same one. Askers and members of an entry are dealt into blocks, and
+    an asker gets an answer from each block of members.
+    """
+    one = F.row_number().over(Window.partitionBy("node").orderBy(F.xxhash64(F.lit(turn), "entry"), "entry"))
+    asking = active.where("component <> main AND NOT finished").withColumn("r", one).where("r = 1").select("entry", "node", "component")
+    blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
+    asked = asking.groupBy("entry").agg(F.count(F.lit(1)).alias("q"))
+    sizes = active.groupBy("entry").agg(F.count(F.lit(1)).alias("n")).join(asked, "entry")
+    sizes = stored(sizes.select("entry", blocks("q").alias("askers"), blocks("n").alias("members")), "asked-entries")
+    own = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    dealt = asking.join(sizes, "entry").select("entry", "node", "component", F.lit(True).alias("asks"), own("askers").alias("i"), every("members").alias("j"))
+    held = active.join(sizes, "entry").select("entry", "node", "component", F.lit(False).alias("asks"), every("askers").alias("i"), own("members").alias("j"))
+    rows = dealt.unionByName(held).join(known.withColumnRenamed("short", "node"), "node")
+
+    def closest(table: pa.Table) -> pa.Table:
+        node, component, size = (table.column(c).to_numpy() for c in ("node", "component", "n"))
+        asks = table.column("asks").to_numpy()
+        sketch = np.stack([table.column(k).to_numpy() for k in SKETCH_WORDS], axis=1).view(np.uint64)
+        members, askers = np.flatnonzero(~asks), np.flatnonzero(asks)
+        first, second = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for start in range(0, len(askers) if len(members) else 0, 32):
+            some = askers[start : start + 32]
+            n, m = size[some][:, None], size[members][None, :]
+            may = (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent) & (component[some][:, None] != component[members][None, :])
+            row, at = np.nonzero(may)
+            most = (size[some[row]] + size[members[at]]) * (100 - percent)
+            apart = np.zeros(len(row), np.int64)
+            # A few words at a time: most pairs are too far apart after the first.
+            for k in range(0, SKETCH, 4):
+                x, y = sketch[some[row], k : k + 4], sketch[members[at], k : k + 4]
+                apart += np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+                left = apart * (100 + percent) <= most
+                row, at, most, apart = row[left], at[left], most[left], apart[left]
+            order = np.lexsort((node[members[at]], apart, row))
+            best = order[np.flatnonzero(np.diff(row[order], prepend=-1))]
+            first.append(node[some[row[best]]])
+            second.append(node[members[at[best]]])
+        x, y = np.concatenate(first), np.concatenate(second)
+        return pa.table({"a": pa.array(np.maximum(x, y)), "b": pa.array(np.minimum(x, y))})
+
+    return rows.groupBy("entry", "i", "j").applyInArrow(closest, "a long, b long").distinct()
+
+
+def _completing_pairs(active: DataFrame, known: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """A block of each entry's open nodes outside its largest component with all nodes of other components,
+    and the rows with those nodes finished."""
+    place = F.row_number().over(Window.partitionBy("entry").orderBy("node"))
+    chosen = active.where("component <> main AND NOT finished").withColumn("r", place).where(F.col("r") <= CENTRES)
+    chosen = stored(chosen.select("entry", "node", F.col("component").alias("its")), "centres")
+    called = lambda prefix: known.select(*[F.col(c).alias(prefix + c) for c in known.columns])
+    centres = chosen.join(called("y_"), F.col("node") == F.col("y_short")).withColumnRenamed("entry", "at").drop("node")
+    near = active.join(called("x_"), F.col("node") == F.col("x_short")).join(
+        centres, (F.col("entry") == F.col("at")) & (F.col("component") != F.col("its")) & may_link(percent, "x_", "y_")
+    )
+    near = near.select(F.greatest("x_short", "y_short").alias("a"), F.least("x_short", "y_short").alias("b")).distinct()
+    marked = active.join(chosen.select("entry", "node", F.lit(True).alias("now")), ["entry", "node"], "left")
+    return near, marked.select("entry", "node", (F.col("finished") | F.col("now").isNotNull()).alias("finished"))
+
+
+def _regrouped(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after further links, which join components and nodes that had none."""
+    alone = _both(links).withColumnRenamed("short", "node").join(found, "node", "left_anti").select("node", F.col("node").alias("component"))
+    every = stored(found.unionByName(alone), "components")
+    of = lambda side: every.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+    joined = components(links.join(of("a"), "a").join(of("b"), "b").select("of_a", "of_b").distinct(), "of_a", "of_b")
+    joined = stored(joined, "joined").select(F.col("node").alias("component"), F.col("component").alias("_now"))
+    return stored(every.join(joined, "component", "left").select("node", F.coalesce("_now", "component").alias("component")), "components")
+
+
 def _sets_for(docs: DataFrame, doc_id: str, text: str, nodes: DataFrame, touched: DataFrame, width: int) -> DataFrame:
     """The stored sets of the nodes that are compared."""
     wanted = stored(nodes.join(touched, "short").select(F.col("short").alias("node"), "doc_id"), "wanted")
