@@ -21,7 +21,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter, and those of which no language has a share to speak of.
 
-    If no document has a language, nothing can be learned, and all texts that hold a letter stay.
+    Null and empty texts have no letter. Rows with a null or repeated id are judged like any other, columns
+    beyond those of documents stay, whatever their names, and an empty table stays empty. If no document has a language, nothing can be learned, and all texts that hold a letter stay.
     """
     net = langid.fit(docs.select("doc_id", "text", "lang"))
     if not net.languages:
@@ -33,7 +34,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops texts that the classifier calls toxic; it is learned from the labels of these documents."""
+    """Drops texts that the classifier calls toxic; it is learned from the labels of these documents.
+
+    Null and empty texts have no toxic words and stay; a null id has no label. Repeated rows are judged alike, all
+    columns stay, whatever their names, and an empty table stays empty.
+    """
     labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic")
     scored = toxicity.score(docs, toxicity.fit(docs.select("doc_id", "text"), labels))
     return scored.where(F.col(scored.columns[-1]) == 0).select(*docs.columns)
@@ -57,12 +62,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it, with all columns; an empty table stays empty.
+
+    Null sources are one source. Documents without words are taken once, or not at all in a source without any.
+    """
     return mixing.apply_mix(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document of the mix, checked by decoding them."""
+    """Token ids of every row of the mix, checked by decoding them: ``doc_id, source, lang, n_tokens, token_ids,
+    intact``. Null and empty texts have no tokens; repeated rows stay, and an empty table gives no rows."""
     tokens = bpe.encode(docs, public_tokenizers.path("byte_bpe_50k.json"), decoded=True)
     count, ids, back = tokens.columns[-3:]
     intact = F.coalesce(F.col("text"), F.lit("")) == F.col(back)
@@ -77,7 +86,7 @@ STAGES = [
     ("BPE", encoded),
 ]
 
-#: Trained models cannot be expressed in SQL; tests/llm/test_pipeline.py uses brute force.
+#: Trained models cannot be expressed in SQL; tests/llm/test_pipeline.py and test_stages.py use brute force.
 ORACLE_SQL = None
 
 
