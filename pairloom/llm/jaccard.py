@@ -27,7 +27,7 @@ a star. Entries whose nodes are not all in one component after that are gone thr
 
 Most pairs need not be compared in full: a set's sketch is the parity of its hashes in
 each of 1,024 slots, and sets differ in at least as many shingles as their sketches do in slots. Pairs of
-which that is too many, or whose sizes are too far apart, are ruled out before. Whole sets are read from the
+which that is too many, or whose sizes are too far apart, are ruled out before; large sets have longer sketches besides. Whole sets are read from the
 texts when their node is first compared. Entries are combined within a task before they are shuffled, so a frequent entry is
 one row per task.
 """
@@ -61,6 +61,7 @@ SAMPLE_DOCS = 2000
 FREQUENT_SHINGLES = 100_000
 FLUSH = 1_500_000  # index entries that a task combines at a time
 SKETCH = 16  # 64-bit words of a set's sketch
+LONG_SET = 800  # larger sets have a longer sketch besides, in proportion to their size
 BITS = 1 << 23  # slots of the bitmap that tells which texts have candidates
 
 
@@ -210,6 +211,25 @@ def sketch_of(hashes: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(slot, minlength=64 * SKETCH) & 1).astype(np.uint8)).view(np.int64)
 
 
+def long_sketch(hashes: np.ndarray) -> bytes:
+    """The parity of the hashes in each of a power of two slots, more than there are hashes; empty for a set
+    whose short sketch tells enough."""
+    if len(hashes) <= LONG_SET:
+        return b""
+    slots = 1 << len(hashes).bit_length()
+    slot = (_mix(hashes + np.uint64(0x8EBC6AF09C88C6E3)) & np.uint64(slots - 1)).astype(np.int64)
+    return np.packbits((np.bincount(slot, minlength=slots) & 1).astype(np.uint8)).tobytes()
+
+
+def sketches_apart(x: np.ndarray, y: np.ndarray) -> int:
+    """In how many slots two long sketches differ; the longer one is folded to the other's length, as slots that
+    fall together add their parities."""
+    while len(x) != len(y):
+        x, y = (x, y) if len(x) > len(y) else (y, x)
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def may_link(percent: int, x: str, y: str):
     """Whether two nodes' sizes and sketches allow a link; columns have the given prefixes."""
     n, m = F.col(f"{x}n"), F.col(f"{y}n")
@@ -339,7 +359,7 @@ def entries_shared(docs: DataFrame, text: str, percent: int, width: int = WIDTH)
 
 
 def sets_of(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``node, hashes`` for the ``wanted`` nodes (with the id of one of their documents).
+    """``node, hashes, size, sketch`` for the ``wanted`` nodes (with the id of one of their documents).
 
     The texts of other documents are passed over by a bitmap of fixed size before they are read; what
     it lets through by chance is left out by the join.
@@ -364,22 +384,38 @@ def sets_of(docs: DataFrame, doc_id: str, text: str, wanted: DataFrame, width: i
                 texts = whole.column(1).take(pa.array(chosen[start : start + 256])).to_pylist()
                 sets = [s for s in shingle_sets(texts, width) if len(s)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([int.from_bytes(node_of(s)[:8], "little", signed=True) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["node", "hashes"],
+                    [pa.array([int.from_bytes(node_of(s)[:8], "little", signed=True) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary()),
+                     pa.array([len(s) for s in sets], pa.int64()), pa.array([long_sketch(s) for s in sets], pa.binary())],
+                    names=["node", "hashes", "size", "sketch"],
                 )
 
-    found = docs.select(slot.alias("_slot"), text).mapInArrow(run, "node long, hashes binary")
+    found = docs.select(slot.alias("_slot"), text).mapInArrow(run, "node long, hashes binary, size long, sketch binary")
     return found.join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"])
 
 
 def links_among(pairs: DataFrame, sets: DataFrame, percent: int, n_pairs: int | None = None) -> DataFrame:
     """The pairs ``a, b`` whose whole sets are similar enough, compared exactly.
 
-    Up to ``FEW_PAIRS`` pairs are broadcast first, by their number, so that no other sets are shuffled.
+    Large sets, of which short sketches say little, are compared by their long sketches first. Up to ``FEW_PAIRS`` pairs are broadcast first, by their number, so that no other sets are shuffled.
     """
     if n_pairs is not None and n_pairs <= FEW_PAIRS:
         sets = sets.join(F.broadcast(_both(pairs).withColumnRenamed("short", "node")), "node", "left_semi")
 
+    def rule_out(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist()):
+                fits = min(n, m) * 100 >= max(n, m) * percent
+                if fits and x and y:
+                    fits = sketches_apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) * (100 + percent) <= (n + m) * (100 - percent)
+                keep.append(fits)
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], names=["a", "b"])
+
+    light = lambda key, n, sketch: sets.select(F.col("node").alias(key), F.col("size").alias(n), F.col("sketch").alias(sketch))
+    sketched = pairs.join(light("a", "n", "x"), "a").join(light("b", "m", "y"), "b").select("a", "b", "n", "m", "x", "y")
+    pairs = sketched.mapInArrow(rule_out, "a long, b long")
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []

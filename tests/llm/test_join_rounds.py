@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from pairloom.llm import jaccard
@@ -58,3 +59,24 @@ def test_pairs_grow_in_proportion(spark, monkeypatch):
         monkeypatch.setattr(jaccard, "links_among", real)
         counts.append(sum(seen))
     assert counts[1] <= 6 * counts[0], counts
+
+
+def test_long_sketches_never_differ_in_more_than_the_sets():
+    draw = np.random.default_rng(3)
+    for n in (801, 1000, 1023, 1024, 1025, 3000):
+        for share in (0.0, 0.05, 0.3, 1.0):
+            base = draw.integers(0, 2**64, n, np.uint64)
+            gone = int(n * share)
+            other = np.concatenate([base[gone:], draw.integers(0, 2**64, draw.integers(0, gone + 1), np.uint64)])
+            if len(other) <= jaccard.LONG_SET:
+                continue
+            x, y = (np.frombuffer(jaccard.long_sketch(v), np.uint8) for v in (base, other))
+            apart = jaccard.sketches_apart(x, y)
+            assert apart <= len(np.setxor1d(base, other))
+            assert share < 1 or apart * 185 > (n + len(other)) * 15  # unrelated sets are told
+    assert jaccard.long_sketch(base[:800]) == b""
+
+
+def test_long_texts_around_the_limit(spark):
+    docs = family(6, 1500, 15, 4) + family(6, 2200, 45, 5) + [(9, "w1 w2 " * 2000), (None, " ".join(f"w{k}" for k in range(1500)))]
+    assert found(spark, docs) == expected(docs)
