@@ -37,7 +37,6 @@ from __future__ import annotations
 import bisect
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +58,7 @@ FEW_PAIRS = 100_000  # pairs whose nodes are broadcast, 16 bytes for each
 CENTRES = 500  # nodes outside an entry's largest component that are completed at a time
 SAMPLE_DOCS = 2000
 FREQUENT_SHINGLES = 100_000
-FLUSH = 1_500_000  # index entries that a task combines at a time
+FLUSH = 600_000  # index entries that a task combines at a time
 SKETCH = 16  # 64-bit words of a set's sketch
 LONG_SET = 800  # larger sets have a longer sketch besides, in proportion to their size
 BITS = 1 << 23  # slots of the bitmap that tells which texts have candidates
@@ -151,14 +150,22 @@ class Bands:
         return [s for b in range(first, last + 1) if (s := scheme_of(self, b))]
 
 
-@lru_cache(maxsize=4096)
+# Plain dicts: a cached function would be sent by its name, which workers cannot import. There are as many
+# entries as bands.
+_SCHEMES: dict[tuple[int, int], Scheme | None] = {}
+_EDGES: dict[int, np.ndarray] = {}
+
+
 def scheme_of(bands: Bands, band: int) -> Scheme | None:
-    return bands.scheme(band)
+    if (bands.percent, band) not in _SCHEMES:
+        _SCHEMES[bands.percent, band] = bands.scheme(band)
+    return _SCHEMES[bands.percent, band]
 
 
-@lru_cache(maxsize=4096)
 def edges_of(segments: int) -> np.ndarray:
-    return np.array([(k << 64) // segments for k in range(segments)], np.uint64)
+    if segments not in _EDGES:
+        _EDGES[segments] = np.array([(k << 64) // segments for k in range(segments)], np.uint64)
+    return _EDGES[segments]
 
 
 def index_entries(hashes: np.ndarray, bands: Bands, frequent: np.ndarray) -> np.ndarray:
@@ -323,8 +330,8 @@ def entries_shared(docs: DataFrame, text: str, percent: int, width: int = WIDTH)
             )
 
         for whole in batches:
-            for start in range(0, whole.num_rows, 256):
-                for s in shingle_sets(whole.column(0).slice(start, 256).to_pylist(), width):
+            for start in range(0, whole.num_rows, 64):
+                for s in shingle_sets(whole.column(0).slice(start, 64).to_pylist(), width):
                     found = index_entries(s, bands, frequent)
                     if len(found):
                         entries.append(found)
