@@ -115,3 +115,13 @@ def test_ids_are_counted_over_all_training_documents(spark):
     found = lm.count_ids(counts, spelling)
     wanted = Counter(i for r in docs.where("learn").collect() for w in r.text.encode().lower().split() for i in np.frombuffer(spelling[w], np.uint32).tolist())
     assert {k: int(found[k]) for k in np.flatnonzero(found)} == dict(wanted)
+
+
+def test_more_languages_than_are_learned(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGUAGES", 3)
+    rows = [(f"{name} text number {k}", name) for name, n in (("a", 9), ("b", 4), ("c", 4), ("d", 4), ("e", 12)) for k in range(n)]
+    net = langid.fit(spark.createDataFrame(rows, "text string, lang string"))
+    assert net.languages == ["a", "b", "e"]
+    many = [(f"text of language {k}", f"l{k:03d}") for k in range(300)]
+    monkeypatch.undo()
+    assert len(langid.fit(spark.createDataFrame(many, "text string, lang string"), per_language=1).languages) == langid.MAX_LANGUAGES
