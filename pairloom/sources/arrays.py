@@ -25,9 +25,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Blocks up to which their beginnings are broadcast; a row takes its path and some 30 bytes.
 BROADCAST_BLOCKS = 100_000
-# Bytes looked at together, and elements sent together.
-STRETCH = 4 << 20
+# Bytes looked at together (working on them takes some 60 times as much), and elements sent together, at most.
+STRETCH = 1 << 19
 SENT = 2_000
+SENT_BYTES = 4 << 20
 
 BLANK = b" \t\r\n"
 BOM = b"\xef\xbb\xbf"
@@ -93,7 +94,7 @@ def _cutter(complete: bool):
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
-        at, state, held, cuts = None, None, [], 0
+        at, state, held, cuts, ready = None, None, [], 0, 0
 
         def rows() -> pa.RecordBatch:
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
@@ -136,9 +137,11 @@ def _cutter(complete: bool):
                     if state == (0, 1):
                         if complete == (cuts > 0):
                             out.append((file, block, cuts, WHOLE if complete else ENDS, b",".join(held)))
+                            ready += len(out[-1][-1])
                         held, cuts = [], cuts + 1
-                    if len(out) >= SENT:
+                    if len(out) >= SENT or ready >= SENT_BYTES:
                         yield rows()
+                        ready = 0
         rest()
         if out:
             yield rows()

@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from pairloom.session import delete_folder, path_exists, replace_folder
@@ -46,8 +46,8 @@ def write_raw(df: DataFrame, path: str, fmt: str = "json", versioned: bool = Fal
 def write_json_arrays(df: DataFrame, path: str, indented: bool = True) -> None:
     """Overwrites ``path`` with one JSON array per task, for tools that read whole arrays.
 
-    Records are rendered by Spark; the helper only puts brackets and commas around them. Without
-    ``indented`` an array stands on one line.
+    Records are rendered by Spark, brackets and commas too; the helper hands batches on as they are and adds the
+    closing bracket. Without ``indented`` an array stands on one line.
     """
     record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
     write_json_texts(df.select(record.alias("value")), path, indented)
@@ -57,25 +57,24 @@ def write_json_texts(records: DataFrame, path: str, indented: bool = False) -> N
     """``write_json_arrays`` of records (objects) that are JSON text already, in the only column."""
     record = F.col(records.columns[0])
     inner = record if not indented else F.concat(F.lit("    "), F.substr(record, F.lit(2), F.length(record) - 2))
+    # The text writer ends every row with the line break that head, separator and tail start or end with, so
+    # it is left out here.
+    head, between, tail = (ARRAY_HEAD, ARRAY_SEPARATOR, ARRAY_TAIL) if indented else ("[", ",", "]")
+    between, tail = between.removeprefix("\n"), tail.removeprefix("\n")
+    # Row numbers start with 0 in every task, in the bits below the task's.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
 
     # Defined here so that it is sent to the executors whole, wherever the package is installed.
-    def join_records(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # The text writer ends every row with the line break that head, separator and tail start
-        # or end with, so it is left out here.
-        head, between, tail = (ARRAY_HEAD, ARRAY_SEPARATOR, ARRAY_TAIL) if indented else ("[", ",", "]")
-        between, tail = between.removeprefix("\n"), tail.removeprefix("\n")
+    def close(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         started = False
         for batch in batches:
-            lines = between + batch["value"]
-            if not started and len(lines):
-                lines.iloc[0] = head + batch["value"].iloc[0]
-                started = True
-            yield pd.DataFrame({"value": lines})
+            started = started or batch.num_rows > 0
+            yield batch
         if started:
-            yield pd.DataFrame({"value": [tail]})
+            yield pa.RecordBatch.from_arrays([pa.array([tail], batch.schema.types[0])], schema=batch.schema)
 
-    lines = records.select(inner.alias("value")).mapInPandas(join_records, "value string")
-    writer = lines.write.mode("overwrite")
+    opened = records.select(F.concat(F.when(first, F.lit(head)).otherwise(F.lit(between)), inner).alias("value"))
+    writer = opened.mapInArrow(close, "value string").write.mode("overwrite")
     (writer if indented else writer.option("lineSep", " ")).text(path)
 
 

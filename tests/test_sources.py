@@ -329,3 +329,19 @@ def test_map_rows(spark):
     df = spark.range(100).repartition(4)
     doubled = map_rows(df, lambda batch: batch.assign(twice=batch["id"] * 2), "id bigint, twice bigint")
     assert doubled.where("twice <> id * 2").count() == 0 and doubled.count() == 100
+
+
+@pytest.mark.parametrize("indented", [True, False])
+def test_arrays_are_written_without_python_objects_of_their_texts(spark, tmp_path, monkeypatch, indented):
+    """Batches pass Python as they are: pandas would hold several copies of 10,000 texts in every worker."""
+    rows = spark.range(100).selectExpr("id", "concat('é\"', id) AS text").repartition(3)
+    some = spark.range(0).selectExpr("id", "cast(id AS string) AS text").unionByName(rows)  # partitions without rows as well
+
+    def refused(*_):
+        raise AssertionError("pandas")
+
+    monkeypatch.setattr(type(rows), "mapInPandas", refused)
+    write_json_arrays(some, str(tmp_path / "arrays"), indented)
+    found = [json.loads(text) for path in (tmp_path / "arrays").glob("part-*") if (text := path.read_text()).strip()]
+    assert sorted((r["id"], r["text"]) for part in found for r in part) == [(i, f'é"{i}') for i in range(100)]
+    assert found[0] and all(isinstance(part, list) for part in found)
