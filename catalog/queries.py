@@ -121,7 +121,7 @@ def load_split_files_in_order(spark: SparkSession, sf: str) -> DataFrame:
     files = {"train": new_folder(spark, "train"), "validation": new_folder(spark, "validation")}
     for name, path in files.items():
         rows = views.named_splits(spark, sf).where(F.col("split") == name)
-        in_order = rows.repartitionByRange(4, "split_row").sortWithinPartitions("split_row")
+        in_order = rows.repartitionByRange("split_row").sortWithinPartitions("split_row")
         write_json_arrays(in_order.select("instruction", "response"), path)
     return load_split_files(spark, files)
 
@@ -398,14 +398,17 @@ def first_row_preview(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def first_record_preview(spark: SparkSession, sf: str) -> DataFrame:
-    """Of a table, of several folders of which the first hold empty files, and of lines of text."""
+    """Of a table, of several folders of which the first hold empty files, and of lines of text.
+
+    As many files as ``spark.sql.shuffle.partitions`` and the size of the rows ask for.
+    """
     folder, lines = new_folder(spark, "files"), new_folder(spark, "lines")
     rows = views.table(spark, sf, "documents").select("doc_id", "text")
     folders = [f"{folder}/{k}" for k in range(4)]
     for k, path in enumerate(folders):
-        some = rows.where(F.lit(False)) if k < 3 else rows.where("doc_id > 10").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id")
+        some = rows.where(F.lit(False)) if k < 3 else rows.where("doc_id > 10").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
         some.write.parquet(path)
-    rows.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id").write.json(lines)
+    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id").write.json(lines)
     found = {
         "table": first_record(spark, f"{sf}/documents.parquet").select("doc_id", "text"),
         "after empty files": first_record(spark, folders),
