@@ -56,3 +56,17 @@ for name in ("scan_json_array", "map_rows_pandas"):
 def test_python_workers_do_not_need_the_package(tmp_path):
     script = FROM_ELSEWHERE.format(path=contract.__file__)
     subprocess.run([sys.executable, "-c", script], cwd=tmp_path, check=True, timeout=300)
+
+
+@pytest.mark.parametrize("name", ["first_record_preview", "load_split_files_in_order"])
+def test_files_are_written_by_as_many_tasks_as_the_settings_ask_for(spark, monkeypatch, name):
+    """With a fixed number of tasks each would read a fixed share of any table."""
+    asked, by_range = [], type(spark.range(1)).repartitionByRange
+
+    def noted(self, *args):
+        asked.append(args)
+        return by_range(self, *args)
+
+    monkeypatch.setattr(type(spark.range(1)), "repartitionByRange", noted)
+    QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert asked and not any(isinstance(args[0], int) for args in asked)
