@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame, functions as F, types as T, Window
 
 from pairloom.llm.common import row_hash, ship, stored
 from pairloom.llm.components import components
+from pairloom.session import setting
 
 ship(__name__)
 
@@ -58,6 +59,7 @@ FEW_PAIRS = 100_000  # pairs whose nodes are broadcast, 16 bytes for each
 CENTRES = 500  # nodes outside an entry's largest component that are completed at a time
 SAMPLE_DOCS = 2000
 FREQUENT_SHINGLES = 100_000
+ARROW_BYTES = 4 << 20  # texts or sets that a task hands to Python at a time; the JVM and Python both hold them
 FLUSH = 600_000  # index entries that a task combines at a time
 SKETCH = 16  # 64-bit words of a set's sketch
 LONG_SET = 800  # larger sets have a longer sketch besides, in proportion to their size
@@ -453,6 +455,12 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     repeated ids link like any other documents; a null id never is the smallest, and a document with
     a null id that links with nothing has a null component. An empty table gives an empty result.
     """
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES)):
+        return _components_of(docs, doc_id, text, percent, width)
+
+
+def _components_of(docs: DataFrame, doc_id: str, text: str, percent: int, width: int) -> DataFrame:
+    """``near_copies``: all that runs in Python is stored before it returns."""
     described = stored(describe(docs, doc_id, text, width), "described")
     nodes = (
         described.where("node IS NOT NULL")

@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-from pairloom.session import delete_folder, path_exists, replace_folder
+from pairloom.session import delete_folder, path_exists, replace_folder, setting
 from pairloom.sources.readers import ARRAY_HEAD, ARRAY_SEPARATOR, ARRAY_TAIL
 from pairloom.sources.versions import commit, current, entry, new_version
 
@@ -92,7 +91,7 @@ def write_splits(df: DataFrame, folder: str, fmt: str = "parquet", versioned: bo
     try:
         # With one open file per split Spark need not sort the rows by split first, which would be a
         # second sort of whole rows. Beyond this many splits it goes back to sorting.
-        with _setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "8"):
+        with setting(df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", "8"):
             writer.format(fmt).save(target)
         if versioned:
             commit(df.sparkSession, folder, target, format=fmt)
@@ -102,16 +101,6 @@ def write_splits(df: DataFrame, folder: str, fmt: str = "parquet", versioned: bo
         raise
 
 
-@contextmanager
-def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def materialise_if_absent(
     spark: SparkSession, folder: str, build: Callable[[], DataFrame], fmt: str = "parquet", versioned: bool = False
 ) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pairloom.llm import jaccard
@@ -80,3 +81,25 @@ def test_long_sketches_never_differ_in_more_than_the_sets():
 def test_long_texts_around_the_limit(spark):
     docs = family(6, 1500, 15, 4) + family(6, 2200, 45, 5) + [(9, "w1 w2 " * 2000), (None, " ".join(f"w{k}" for k in range(1500)))]
     assert found(spark, docs) == expected(docs)
+
+
+def test_python_gets_small_batches(spark, monkeypatch):
+    """Texts and sets go to Python in lots of bounded bytes, however many rows there are; the setting comes back."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    monkeypatch.setattr(jaccard, "ARROW_BYTES", 1 << 15)
+    docs = family(60, 400, 4, 6)
+    seen, real = [], jaccard.sets_of
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    def noted(table, *rest):
+        seen.extend(r.n for r in table.select("text").coalesce(1).mapInArrow(sizes, "n long").collect())
+        return real(table, *rest)
+
+    monkeypatch.setattr(jaccard, "sets_of", noted)
+    assert found(spark, docs) == expected(docs)
+    assert sum(seen) > 3 * (1 << 15) and max(seen) < 2 * (1 << 15)
+    assert spark.conf.get(name) == before
