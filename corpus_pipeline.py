@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,12 +15,31 @@ LEAST_LANGUAGE_SCORE = 0.4
 # The stage has no contract of its own for near copies; op6's 4 words and 85 percent bind only op6.
 SHINGLE_WORDS = 5
 SIMILAR_PERCENT = 80
+# Bytes of rows that go to Python at a time. The JVM and Python both hold a lot for every running task, and by default it has 64 MB.
+LOT_BYTES = 4 << 20
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def small_lots(stage: Stage) -> Stage:
+    """The stage in a session that hands rows to Python in lots of ``LOT_BYTES``.
+
+    A stage's rows are computed when they are read, after it has returned, so the session keeps the setting.
+    """
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(LOT_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@small_lots
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts without a letter, and those of which no language has a share to speak of.
 
@@ -33,6 +55,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return known.where(kept).select(*docs.columns)
 
 
+@small_lots
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops texts that the classifier calls toxic; it is learned from the labels of these documents.
 
@@ -44,6 +67,7 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where(F.col(scored.columns[-1]) == 0).select(*docs.columns)
 
 
+@small_lots
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps of each component the document with the smallest id.
 
@@ -61,6 +85,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rows.join(first, key, "left_semi").select(*docs.columns)
 
 
+@small_lots
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it, with all columns; an empty table stays empty.
 
@@ -69,6 +94,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.apply_mix(docs)
 
 
+@small_lots
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every row of the mix, checked by decoding them: ``doc_id, source, lang, n_tokens, token_ids,
     intact``. Null and empty texts have no tokens; repeated rows stay, and an empty table gives no rows."""

@@ -39,9 +39,10 @@ PIECES = (
 )
 # ------------------------------------------------------------------------------------------------
 
-# Entries of a worker's word cache and of its transition table; both start anew when full.
-CACHE_WORDS = 400_000
-TABLE_ARCS = 2_000_000
+# Entries of a worker's word cache and of its transition table; both start anew when full. Measured on 10,240 documents, a
+# cache of 400,000 takes 65 MB more and no less time, one of 30,000 a fifth more time.
+CACHE_WORDS = 60_000
+TABLE_ARCS = 500_000
 
 
 def byte_letters() -> dict[str, int]:

@@ -6,9 +6,11 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
+import pytest
 
 import corpus_pipeline
-from pairloom.llm import jaccard
+from pairloom.llm import bpe, jaccard
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -92,3 +94,41 @@ def test_language_stage_without_any_language(spark):
     texts = ["a clean text", "12 34 !", "", None, "\u00e9t\u00e9"]
     docs = spark.createDataFrame([(k, t, None, "s", 1) for k, t in enumerate(texts)], SCHEMA)
     assert sorted(r.doc_id for r in corpus_pipeline.language(spark, docs, "").collect()) == [0, 4]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_hand_rows_to_python_in_small_lots(spark, monkeypatch, name):
+    """Also when a stage's rows are read, after it has returned."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    monkeypatch.setattr(corpus_pipeline, "LOT_BYTES", 1 << 15)
+    monkeypatch.setattr(corpus_pipeline, "_table", lambda spark, sf_dir, name: spark.createDataFrame([], "doc_id long, toxic int"))
+    texts = [" ".join(f"word{k * j}" for j in range(500)) for k in range(60)]
+    docs = spark.createDataFrame([(k, t, "en", "a", len(t)) for k, t in enumerate(texts)], SCHEMA).coalesce(1)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    try:
+        dict(corpus_pipeline.STAGES)[name](spark, docs, "")
+        seen = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+    finally:
+        spark.conf.set(setting, before)
+    assert sum(seen) > 3 * (1 << 15) and max(seen) < 2 * (1 << 15)
+
+
+def test_tokens_do_not_depend_on_the_word_cache(spark, monkeypatch):
+    texts = [" ".join(f"w{k} x{j % 7}" for j in range(40)) for k in range(30)] + ["", None]
+    docs = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in enumerate(texts)], SCHEMA)
+    stage = dict(corpus_pipeline.STAGES)["BPE"]
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(setting)
+    try:
+        whole = sorted(map(tuple, stage(spark, docs, "").collect()))
+        monkeypatch.setattr(bpe, "CACHE_WORDS", 3)
+        monkeypatch.setattr(bpe, "TABLE_ARCS", 3)
+        assert sorted(map(tuple, stage(spark, docs, "").collect())) == whole
+    finally:
+        spark.conf.set(setting, before)
+    assert all(r[-1] for r in whole)
