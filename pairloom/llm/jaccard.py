@@ -13,8 +13,14 @@ Nodes are compared by the pigeonhole principle over a partition of the universe
   sample: empty segments cost most, then those that hold nothing but shingles frequent in the sample.
   What is over the allowance is indexed all the same, so nothing is lost.
 
-Nodes that share an index entry are candidates, but they are not paired with each other: each is compared
-with one centre of its entry, in exact arithmetic on whole sets. That links large groups of near copies in
+Nodes that share an index entry are candidates. Texts that have no more than a passage in common share
+entries by chance, and those entries grow with the table. So in entries of more than ``WIDE`` nodes only those are
+candidates that share a rare shingle as well: with shingles in one order, rare ones first, sets that link have one in
+common among the first of both, as many as a set may miss and one more. The order comes from a sample, and any order
+finds all links. Each such shingle makes an entry of the nodes in wide ones, in their place; entries that
+hold the same nodes are one.
+
+Candidates are not paired with each other: each is compared with one centre of its entry, in exact arithmetic on whole sets. That links large groups of near copies in
 a star. Entries whose nodes are not all in one component after that are gone through again, in two phases:
 
 * Merging: each node outside of its entry's largest component is compared with one node of another component
@@ -56,13 +62,17 @@ SEGMENTS_PER_SKIP = 48
 BLOCK = 2048  # nodes of an entry whose sketches are compared together
 WORTHWHILE = 16  # merging ends when two rounds find links for less than one in so many nodes that are apart
 FEW_PAIRS = 100_000  # pairs whose nodes are broadcast, 16 bytes for each
+FEW_CROSS = 32  # pairs for each row of the open entries up to which these are completed without merging
 CENTRES = 500  # nodes outside an entry's largest component that are completed at a time
-SAMPLE_DOCS = 2000
+SAMPLE_DOCS = 2000  # at least, and one text in so many:
+SAMPLE_SHARE = 64
 FREQUENT_SHINGLES = 100_000
+WIDE = 16  # nodes of an entry, beyond which it is narrowed by rare shingles
 ARROW_BYTES = 4 << 20  # texts or sets that a task hands to Python at a time; the JVM and Python both hold them
 FLUSH = 600_000  # index entries that a task combines at a time
 SKETCH = 16  # 64-bit words of a set's sketch
 LONG_SET = 800  # larger sets have a longer sketch besides, in proportion to their size
+RARE = np.uint64(1 << 63)  # the bit by which entries of rare shingles are told from those of the index
 BITS = 1 << 23  # slots of the bitmap that tells which texts have candidates
 
 
@@ -205,15 +215,31 @@ def index_entries(hashes: np.ndarray, bands: Bands, frequent: np.ndarray) -> np.
             elif cost <= left:
                 drop[segment] = True
                 left -= cost
-        entries.append(_mix(total + key)[~drop])
-        for segment in range(scheme.deleted):
-            if drop[segment] or not size[segment] or no_empty[segment]:
-                continue
-            without = total[segment] - content[edge[segment] : edge[segment + 1]]
-            entries.append(_mix(without + key[segment]))
+        whole = total + key
+        entries.append(_mix(whole)[~drop])
+        # The deleted segments are the first ones, and so are their shingles.
+        segment = np.repeat(np.arange(scheme.deleted), size[: scheme.deleted])
+        without = whole[segment] - content[: len(segment)]
+        entries.append(_mix(without[~(drop | no_empty)[segment]]))
     return np.concatenate(entries)
 
 
+def rare_shingles(hashes: np.ndarray, percent: int, known: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The first shingles of the set, by their count in the sample and then by hash: as many as a set that links
+    may miss, and one more. Two sets that link have one of them in common."""
+    length = len(hashes) - -(-percent * len(hashes) // 100) + 1
+    if not len(known):
+        return hashes[:length]
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    often = known[at] == hashes
+    unseen = hashes[~often]
+    if len(unseen) >= length:
+        return unseen[:length]
+    rest = np.flatnonzero(often)
+    order = np.argsort(counts[at[rest]], kind="stable")  # hashes are in order already
+    return np.concatenate([unseen, hashes[rest[order[: length - len(unseen)]]]])
+
+
 def sketch_of(hashes: np.ndarray) -> np.ndarray:
     """Parity of the number of hashes in each slot, as 64-bit words."""
     slot = (_mix(hashes + np.uint64(0xE7037ED1A0B428DB)) % np.uint64(64 * SKETCH)).astype(np.int64)
@@ -269,30 +295,38 @@ def describe(docs: DataFrame, doc_id: str, text: str, width: int = WIDTH) -> Dat
     return docs.select(F.col(doc_id).alias("doc_id"), text).mapInArrow(run, schema)
 
 
-def frequent_shingles(docs: DataFrame, text: str, width: int = WIDTH) -> np.ndarray:
-    """Shingles in at least one in a hundred of a bounded sample; they only steer what is skipped."""
-    drawn = docs.select(text).where(F.pmod(row_hash(text), F.lit(64)) < 8).limit(SAMPLE_DOCS)
+def frequent_shingles(docs: DataFrame, text: str, n_nodes: int, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted shingles in more than one text of a sample, their counts there, and those in at least one text in a
+    hundred. They only steer what is skipped and what counts as rare."""
+    size = max(SAMPLE_DOCS, n_nodes // SAMPLE_SHARE)
+    slots = 1 << 30
+    drawn = docs.select(text).where(F.pmod(row_hash(text), F.lit(slots)) < min(slots, slots * size // max(1, n_nodes))).distinct()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = shingle_sets(batch.column(0).to_pylist(), width)
-            values, counts = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts, pa.int64())], names=["h", "n"])
+        for whole in batches:
+            for start in range(0, whole.num_rows, 256):
+                sets = shingle_sets(whole.column(0).slice(start, 256).to_pylist(), width)
+                values, counts = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(values.view(np.int64)), pa.array(counts, pa.int64())], names=["h", "n"])
 
     counted = drawn.mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    often = counted.where(F.col("n") >= SAMPLE_DOCS // 100).orderBy(F.desc("n"), "h").limit(FREQUENT_SHINGLES)
-    return np.sort(np.array([r.h for r in often.collect()], np.int64).view(np.uint64))
+    often = counted.where("n > 1").orderBy(F.desc("n"), "h").limit(FREQUENT_SHINGLES).toArrow()
+    known, counts = often.column("h").to_numpy().view(np.uint64), often.column("n").to_numpy()
+    order = np.argsort(known)
+    known, counts = known[order], counts[order]
+    return known, counts, known[counts >= size // 100]
 
 
-def entries_shared(docs: DataFrame, text: str, percent: int, width: int = WIDTH) -> DataFrame:
-    """``entry, node, centre`` of all nodes that share an index entry with a smaller one.
+def entries_shared(docs: DataFrame, text: str, percent: int, n_nodes: int, width: int = WIDTH) -> DataFrame:
+    """``entry, node, centre`` of all nodes that share an index entry or a rare shingle with a smaller one. Numbers of
+    rare shingles are negative, those of index entries are not.
 
     Nodes are told by the first eight bytes of their digest. Within a task and again after the shuffle,
     the nodes of an entry are linked to the smallest of them, and only that one goes on.
     """
     spark = docs.sparkSession
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = spark.sparkContext.broadcast(frequent_shingles(docs, text, width))
+    shared = spark.sparkContext.broadcast(frequent_shingles(docs, text, n_nodes, width))
     bands = Bands.of(percent)
     pair = np.dtype([("entry", "<u8"), ("node", "<i8")])
 
@@ -310,7 +344,7 @@ def entries_shared(docs: DataFrame, text: str, percent: int, width: int = WIDTH)
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries, nodes, held = [], [], 0
-        frequent = shared.value
+        known, counts, frequent = shared.value
 
         def flush():
             inner, going = combine(np.concatenate(entries), np.concatenate(nodes))
@@ -336,6 +370,7 @@ def entries_shared(docs: DataFrame, text: str, percent: int, width: int = WIDTH)
                 for s in shingle_sets(whole.column(0).slice(start, 64).to_pylist(), width):
                     found = index_entries(s, bands, frequent)
                     if len(found):
+                        found = np.concatenate([found & ~RARE, rare_shingles(s, percent, known, counts) | RARE])
                         entries.append(found)
                         nodes.append(np.full(len(found), int.from_bytes(node_of(s)[:8], "little", signed=True)))
                         held += len(found)
@@ -472,20 +507,21 @@ def _components_of(docs: DataFrame, doc_id: str, text: str, percent: int, width:
     if nodes.groupBy("short").count().where("count > 1").head():
         raise RuntimeError("two different sets have digests with the same first eight bytes")
     known = nodes.select("short", "n", *SKETCH_WORDS)
-    entries = stored(entries_shared(docs, text, percent, width), "entries")
-    pairs = entries.select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
+    entries = _narrowed(stored(entries_shared(docs, text, percent, nodes.count(), width), "entries"))
+    pairs = entries.where("node <> centre").select(F.col("node").alias("a"), F.col("centre").alias("b")).distinct()
     pairs = stored(_possible(pairs, known, percent), "pairs")
     sets = _sets_for(docs, doc_id, text, nodes, _both(pairs), width)
     links = stored(links_among(pairs, sets, percent), "verified")
     found = stored(components(links), "components")
 
-    active = entries.select("entry", "node").union(entries.select("entry", F.col("centre").alias("node"))).distinct()
-    active = active.withColumn("finished", F.lit(False))
+    active = entries.select("entry", "node").withColumn("finished", F.lit(False))
     done, merging, poor, turn = pairs, True, 0, 0
     while True:
         active, apart = _still_open(active, found)
         if not apart:
             break
+        if merging and poor == 0 and _cross_pairs(active) <= FEW_CROSS * active.count():
+            merging = False
         if merging:
             new = _merging_pairs(active, known, percent, turn).join(done, ["a", "b"], "left_anti")
         else:
@@ -514,6 +550,25 @@ def _components_of(docs: DataFrame, doc_id: str, text: str, percent: int, width:
     )
 
 
+def _narrowed(entries: DataFrame) -> DataFrame:
+    """``entry, node, centre`` of all nodes of the entries to be compared, with the entry's smallest node.
+
+    Wide index entries give way to the rare shingles of their nodes. Of entries with the same nodes one is kept.
+    """
+    rows = entries.select("entry", "node").union(entries.select("entry", F.col("centre").alias("node"))).distinct()
+    rows = stored(rows, "members")
+    index, rare = rows.where("entry >= 0"), rows.where("entry < 0")
+    held = lambda members: members.groupBy("entry").agg(
+        F.count(F.lit(1)).alias("n"), F.min("node").alias("centre"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y")
+    )
+    told = stored(held(index), "index-entries")
+    crowd = stored(index.join(told.where(F.col("n") > WIDE).select("entry"), "entry", "left_semi").select("node").distinct(), "crowd")
+    rare = stored(rare.join(crowd, "node", "left_semi"), "rare-members")
+    every = told.where(F.col("n") <= WIDE).unionByName(held(rare)).where("n > 1")
+    chosen = every.groupBy("n", "centre", "x", "y").agg(F.min("entry").alias("entry")).select("entry", "centre")
+    return stored(index.unionByName(rare.select(*index.columns)).join(chosen, "entry"), "active")
+
+
 def _both(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("short")).union(pairs.select(F.col("b").alias("short"))).distinct()
 
@@ -539,6 +594,13 @@ def _still_open(active: DataFrame, found: DataFrame) -> tuple[DataFrame, int]:
     return still, still.where("component <> main AND NOT finished").select("node").distinct().count()
 
 
+def _cross_pairs(active: DataFrame) -> int:
+    """How many pairs completing all of these entries can compare at the most."""
+    outside = F.count_if((F.col("component") != F.col("main")) & ~F.col("finished"))
+    per_entry = active.groupBy("entry").agg((outside * F.count(F.lit(1))).alias("pairs"))
+    return per_entry.agg(F.coalesce(F.sum("pairs"), F.lit(0))).head()[0]
+
+
 def _merging_pairs(active: DataFrame, known: DataFrame, percent: int, turn: int) -> DataFrame:
     """Each open node outside its entry's largest component, in one of its entries, with the node of another
     component there whose sketch is closest, if sizes and sketches allow a link.

@@ -103,3 +103,60 @@ def test_python_gets_small_batches(spark, monkeypatch):
     assert found(spark, docs) == expected(docs)
     assert sum(seen) > 3 * (1 << 15) and max(seen) < 2 * (1 << 15)
     assert spark.conf.get(name) == before
+
+
+def sharing(n, seed):
+    """Texts of their own words but for a passage that all of them hold, and a copy of every tenth with one word changed."""
+    draw = random.Random(seed)
+    passage = " ".join(f"p{k}" for k in range(40))
+    docs = []
+    for k in range(n):
+        own = [f"w{k}x{i}" for i in range(160)]
+        at = draw.randrange(160)
+        docs.append((2 * k, " ".join([*own[:at], passage, *own[at:]])))
+        if k % 10 == 0:
+            docs.append((2 * k + 1, " ".join([*own[:at], passage, *own[at:], "changed"])))
+    return docs
+
+
+def test_a_passage_in_many_texts_makes_no_pairs_of_them(spark, monkeypatch):
+    """Texts that have only a passage in common are not compared with each other, so that pairs grow with the texts."""
+    counts = []
+    real = jaccard._possible
+    for n in (100, 400):
+        seen, open_rows = [], []
+        still = jaccard._still_open
+        monkeypatch.setattr(jaccard, "_possible", lambda pairs, *rest: seen.append(pairs.count()) or real(pairs, *rest))
+        monkeypatch.setattr(jaccard, "_still_open", lambda *given: (out := still(*given), open_rows.append(jaccard._cross_pairs(out[0])))[0])
+        docs = sharing(n, n)
+        rows = found(spark, docs)
+        monkeypatch.undo()
+        of = {r[0]: r[2] for r in rows}
+        assert all(of[str(key)] == str(key - key % 2) for key, _ in docs)
+        counts.append((sum(seen), sum(open_rows)))
+    assert counts[1][0] <= 6 * max(counts[0][0], 10) and counts[1][1] <= 6 * max(counts[0][1], 100), counts
+
+
+def test_sets_that_link_share_a_rare_shingle():
+    draw = np.random.default_rng(8)
+    for percent in (80, 85):
+        for n in (*range(1, 30), 100, 333):
+            base = np.unique(draw.integers(0, 2**64, n, np.uint64))
+            known = np.unique(np.concatenate([base[draw.random(len(base)) < 0.8], draw.integers(0, 2**64, 50, np.uint64)]))
+            counts = draw.integers(2, 9, len(known))
+            for gone in range(0, len(base) // 4 + 1):
+                other = np.union1d(np.delete(base, draw.choice(len(base), gone, replace=False)), draw.integers(0, 2**64, draw.integers(0, gone + 1), np.uint64))
+                same = len(np.intersect1d(base, other))
+                if 100 * same < percent * (len(base) + len(other) - same):
+                    continue
+                for of in (known, counts), (known[:0], counts[:0]):
+                    assert len(np.intersect1d(jaccard.rare_shingles(base, percent, *of), jaccard.rare_shingles(other, percent, *of)))
+
+
+@pytest.mark.parametrize("wide,few_cross", [(1, 32), (2, 0), (10**6, 0)])
+def test_narrowed_entries_lose_no_link(spark, monkeypatch, wide, few_cross):
+    monkeypatch.setattr(jaccard, "WIDE", wide)
+    monkeypatch.setattr(jaccard, "FEW_CROSS", few_cross)
+    docs = family(25, 120, 1, 1) + family(25, 120, 2, 2) + family(20, 60, 1, 3) + sharing(30, 4)
+    docs = [(key + 10_000 * k, text) for k, (key, text) in enumerate(docs)] + [(None, docs[3][1]), (7, docs[30][1])]
+    assert found(spark, docs) == expected(docs)
