@@ -11,6 +11,7 @@ from dataclasses import dataclass, field
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
+from pairloom.session import shuffles_deleted
 from pairloom.sources.readers import read_json_records, scan
 from pairloom.sources.writers import write_raw
 
@@ -69,7 +70,8 @@ def collect(
             log.warning("source %s failed: %s: %s", source.name, type(error).__name__, reason)
             return source.name, "failed", 0
 
-    with ThreadPoolExecutor(max(1, min(at_once, len(sources)))) as pool:
+    # Set for all sources at once, as they share the session.
+    with shuffles_deleted(spark), ThreadPoolExecutor(max(1, min(at_once, len(sources)))) as pool:
         # Each source gets a copy of this thread's local properties, such as a job group.
         running = [pool.submit(inheritable_thread_target(spark)(run), source) for source in sources]
         outcome = [source.result() for source in running]

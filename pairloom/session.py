@@ -83,3 +83,8 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
         yield
     finally:
         spark.conf.set(name, before)
+
+
+def shuffles_deleted(spark: SparkSession):
+    """For writes: what one has shuffled is deleted when it ends, not when the driver next collects its garbage."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")

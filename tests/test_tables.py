@@ -8,6 +8,7 @@ import sys
 import threading
 import time
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -326,3 +327,27 @@ def test_a_package_that_only_corpus_operators_need_may_be_missing():
     script = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as c; from catalog.queries import QUERIES; assert set(QUERIES) <= set(c.queries()); print(len(c.queries()))"
     run = subprocess.run([sys.executable, "-c", script], capture_output=True, text=True, check=True, timeout=120, cwd=str(__import__("pathlib").Path(contract.__file__).parent))
     assert int(run.stdout) == len(QUERIES) + len(WITHOUT_SQL)
+
+
+def shuffle_files(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return [name for name in blocks.mkString("\n").split("\n") if "shuffle_" in name]
+
+
+def test_written_tables_take_little_disk(spark, tmp_path):
+    """Parquet is compressed well, and what a write has shuffled is gone when it ends, also when it fails."""
+    rows = numbers(spark, 1, 300).withColumn("split", F.lit("train")).repartition(3, "pos")
+    rows.write.parquet(str(tmp_path / "plain"))  # by Spark alone: its shuffle stays
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, held = spark.conf.get(name), set(shuffle_files(spark))
+    assert held
+    write_splits(rows, str(tmp_path / "splits"), versioned=True)
+    with pytest.raises(Exception, match="broken"):
+        write_splits(rows.withColumn("n", F.raise_error(F.lit("broken"))), str(tmp_path / "splits"), versioned=True)
+    spark.range(0, 300, 1, 4).write.parquet(str(tmp_path / "src"))
+    assert collect(spark, [Source("one", str(tmp_path / "src"), lambda df: df.repartition(3, "id"))], str(tmp_path / "raw"), "parquet").head().status == "saved"
+    assert not set(shuffle_files(spark)) - held
+    assert spark.conf.get(name) == before
+    for folder in ("splits", "raw"):
+        files = [*(tmp_path / folder).rglob("*.parquet")]
+        assert files and all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files)
