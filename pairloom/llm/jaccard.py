@@ -384,16 +384,16 @@ def entries_shared(docs: DataFrame, text: str, percent: int, n_nodes: int, width
         def out(entry, node, centre):
             return pa.RecordBatch.from_arrays([pa.array(entry.view(np.int64)), pa.array(node), pa.array(centre)], names=["entry", "node", "centre"])
 
-        blobs = []
+        blobs = {}
         for batch in batches:
-            for paired, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for part, paired, data in zip(*(c.to_pylist() for c in batch.columns)):
                 if paired:
                     yield out(*np.frombuffer(data, np.int64).reshape(3, -1))
                 else:
-                    blobs.append(data)
-        if blobs:
-            rows = np.frombuffer(b"".join(blobs), pair)
-            blobs.clear()
+                    blobs.setdefault(part, []).append(data)
+        # No entry is in two parts, so they are combined one after the other, in a part of the memory.
+        while blobs:
+            rows = np.frombuffer(b"".join(blobs.popitem()[1]), pair)
             inner, _ = combine(rows["entry"], rows["node"])
             for k in range(0, len(inner[0]), 65536):
                 yield out(*(x[k : k + 65536] for x in inner))
