@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame, functions as F, types as T, Window
 
 from pairloom.llm.common import row_hash, ship, stored
 from pairloom.llm.components import components
-from pairloom.session import setting
+from pairloom.session import setting, shuffles_deleted
 
 ship(__name__)
 
@@ -490,7 +490,8 @@ def near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", per
     repeated ids link like any other documents; a null id never is the smallest, and a document with
     a null id that links with nothing has a null component. An empty table gives an empty result.
     """
-    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES)):
+    spark = docs.sparkSession
+    with setting(spark, "spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES)), shuffles_deleted(spark):
         return _components_of(docs, doc_id, text, percent, width)
 
 
